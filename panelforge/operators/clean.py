@@ -14,7 +14,7 @@ def _c(name: str) -> Column:
 def to_double(col: str | Column) -> Column:
     """VAL-14: coerce to double; non-numeric text, NaN and NULL all become NULL."""
     c = _c(col) if isinstance(col, str) else col
-    v = F.try_cast(c.cast("string"), "double") if not isinstance(col, Column) else F.try_cast(c, "double")
+    v = c.cast("string").try_cast("double")
     return F.nanvl(v, F.lit(None).cast("double"))
 
 

@@ -72,3 +72,51 @@ def requests(spark: SparkSession, sf_dir: str, chunk_days: int | None = 90) -> D
         "pm25_yesterday", "pm25_3days_ago", "pm10_yesterday", "co_yesterday",
         F.col("aqi").alias("actual"),
     )
+
+
+def supplier_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-supplier metric records in the shape of model metric records: R2-like values are
+    squared quantity/price correlations over three shipping periods, errors and times are
+    scaled line statistics. One aggregation over lineitem, joined to supplier names."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
+    d = F.col("l_shipdate").cast("date")
+    q, p = F.col("l_quantity"), F.col("l_extendedprice")
+
+    def r2(cond):
+        return F.pow(F.corr(F.when(cond, q), F.when(cond, p)), 2)
+
+    g = li.groupBy("l_suppkey").agg(
+        r2(d <= F.lit("1998-12-31").cast("date")).alias("train_r2"),
+        r2((d > F.lit("1998-12-31").cast("date")) & (d <= F.lit("1999-12-31").cast("date"))).alias("validation_r2"),
+        r2(d > F.lit("1999-12-31").cast("date")).alias("test_r2"),
+        (F.avg("l_discount") * 100).alias("validation_mae"),
+        (F.stddev_pop("l_extendedprice") / 1000).alias("validation_rmse"),
+        (F.avg("l_tax") * 100).alias("validation_mape"),
+        (F.count(F.lit(1)) / 2.0).alias("train_time_s"),
+        (F.avg("l_discount") * 20).alias("validation_pred_time"),
+        F.sum(p * (1 - F.col("l_discount"))).alias("revenue"),
+        F.avg("l_quantity").alias("avg_qty"),
+    )
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    return g.join(s, g.l_suppkey == s.s_suppkey).select(
+        F.col("s_name").alias("model"), "s_suppkey", "s_nationkey", F.lit(False).alias("uses_scaled"),
+        "train_r2", "validation_r2", "test_r2", "validation_mae", "validation_rmse", "validation_mape",
+        "train_time_s", "validation_pred_time", "revenue", "avg_qty",
+    )
+
+
+SUPPLIER_RECORDS_SQL = """
+SELECT s_name AS model, s_suppkey, s_nationkey,
+  power(corr(CASE WHEN CAST(l_shipdate AS DATE) <= DATE '1998-12-31' THEN l_quantity END,
+             CASE WHEN CAST(l_shipdate AS DATE) <= DATE '1998-12-31' THEN l_extendedprice END), 2) AS train_r2,
+  power(corr(CASE WHEN CAST(l_shipdate AS DATE) > DATE '1998-12-31' AND CAST(l_shipdate AS DATE) <= DATE '1999-12-31' THEN l_quantity END,
+             CASE WHEN CAST(l_shipdate AS DATE) > DATE '1998-12-31' AND CAST(l_shipdate AS DATE) <= DATE '1999-12-31' THEN l_extendedprice END), 2) AS validation_r2,
+  power(corr(CASE WHEN CAST(l_shipdate AS DATE) > DATE '1999-12-31' THEN l_quantity END,
+             CASE WHEN CAST(l_shipdate AS DATE) > DATE '1999-12-31' THEN l_extendedprice END), 2) AS test_r2,
+  avg(l_discount) * 100 AS mae, stddev_pop(l_extendedprice) / 1000 AS rmse, avg(l_tax) * 100 AS mape,
+  count(*) / 2.0 AS train_time_s, avg(l_discount) * 20 AS val_pred_time_s,
+  sum(l_extendedprice * (1 - l_discount)) AS revenue, avg(l_quantity) AS avg_qty
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+GROUP BY s_name, s_suppkey, s_nationkey
+"""
