@@ -8,11 +8,12 @@ KNN imputation (IMP-01) follows the NaN-Euclidean k-nearest-neighbour rule:
   the value is the plain mean of the k nearest donors with a finite distance
   (ties broken by the donor key); no such donor -> the training mean of j.
 
-Exact, without comparing every receiver with every donor. Rows are grouped by
-their pattern of present columns. For a receiver pattern and a donor pattern
-the shared set T is fixed; let c* be the column of T with the largest spread.
-For every such pair ``|x_c* - y_c*| <= ||x_T - y_T|| <= d(x, y)`` (as p/|T| >= 1),
-so every donor with ``d <= r`` lies in the band ``|x_c* - y_c*| <= r``. Rounds of
+Exact, without comparing every receiver with every donor. For any column c
+present in both rows, ``|x_c - y_c| <= d(x, y)`` (because p/|S| >= 1). Rows are
+grouped by their presence pattern over the few widest-spread columns ("band
+columns"); for a receiver pattern and a donor pattern the band key c* is the
+widest band column present in both, else the widest column that is never NULL.
+So every donor with ``d <= r`` lies in the band ``|x_c* - y_c*| <= r``. Rounds of
 a band join -- an equi-join on (donor pattern, c*, floor(value / r)) with the
 receiver copied into the neighbouring buckets -- compute distances only inside
 the band; a cell is settled when at least k of its candidates have ``d <= r``
@@ -27,6 +28,7 @@ its size is checked against ``max_plan``.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -38,10 +40,15 @@ from .windows import _chunk_expr, _order, qcol
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the session's shared checkpoint folder;
-    without one (single-machine use) persist and count instead."""
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
+    """Cut lineage: write ``df`` as a Parquet table under the session's shared
+    ``spark.checkpoint.dir`` and read it back (survives executor loss; also avoids
+    ``Dataset.checkpoint``'s constraint rewrite, which is exponential for wide aliased
+    projections). Without a checkpoint folder (single-machine use) persist and count."""
+    base = checkpoint_dir(df.sparkSession)
+    if base:
+        path = f"{base.rstrip('/')}/panelforge-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     return out
@@ -52,51 +59,63 @@ class KnnModel:
     key: list[str]
     cols: list[str]
     k: int
-    donors: DataFrame  # _dk struct, _dv array<double>, _dpat string
+    donors: DataFrame  # _dk struct, d0..d{p-1}, _dpat string
     means: dict[str, float | None]
-    spread: list[float]  # population std of each column on the donors (choice of c*)
+    spread: list[float]  # population std of each column on the donors
     lo: list[float | None]
     hi: list[float | None]
+    never_null: list[int]  # columns without NULLs among the donors
+    band_cols: list[int]  # columns whose presence defines the coarse patterns
     n_donors: int
-    max_plan: int = 1_000_000
 
     def transform(self, df: DataFrame) -> DataFrame:
         return knn_transform(self, df)
 
 
-def _pattern(cols: list[str]) -> Column:
-    """Presence pattern of a row as a string of 0/1, one character per column."""
-    return F.concat(*[F.when(qcol(c).isNotNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
+def _pattern(cols: list[str], idx: list[int]) -> Column:
+    """Presence pattern over the band columns as a string of 0/1."""
+    if not idx:
+        return F.lit("")
+    return F.concat(*[F.when(qcol(cols[i]).isNotNull(), F.lit("1")).otherwise(F.lit("0")) for i in idx])
 
 
-def fit_knn(train: DataFrame, key: list[str], cols: list[str], k: int = 5) -> KnnModel:
+def fit_knn(train: DataFrame, key: list[str], cols: list[str], k: int = 5, band_width: int = 3) -> KnnModel:
     """IMP-01 fit: the donor table (checkpointed) and per-column training statistics."""
     stats = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
         stats += [F.avg(qcol(c)).alias(f"m{i}"), F.stddev_pop(qcol(c)).alias(f"s{i}"),
-                  F.min(qcol(c)).alias(f"l{i}"), F.max(qcol(c)).alias(f"h{i}")]
+                  F.min(qcol(c)).alias(f"l{i}"), F.max(qcol(c)).alias(f"h{i}"),
+                  F.count_if(qcol(c).isNull()).alias(f"z{i}")]
     row = train.agg(*stats).first()
     p = len(cols)
+    spread = [row[f"s{i}"] or 0.0 for i in range(p)]
+    never = [i for i in range(p) if row[f"z{i}"] == 0]
+    by_spread = sorted(range(p), key=lambda i: (-spread[i], i))
+    band = [i for i in by_spread if i not in never][:band_width]
     donors = materialize(train.select(
         F.struct(*[qcol(c) for c in key]).alias("_dk"),
-        F.array(*[qcol(c).cast("double") for c in cols]).alias("_dv"),
-        _pattern(cols).alias("_dpat"),
+        *[qcol(c).cast("double").alias(f"d{i}") for i, c in enumerate(cols)],
+        _pattern(cols, band).alias("_dpat"),
     ))
     return KnnModel(
         key, cols, k, donors,
         means={c: row[f"m{i}"] for i, c in enumerate(cols)},
-        spread=[row[f"s{i}"] or 0.0 for i in range(p)],
+        spread=spread,
         lo=[row[f"l{i}"] for i in range(p)],
         hi=[row[f"h{i}"] for i in range(p)],
-        n_donors=row["_n"],
+        never_null=never, band_cols=band, n_donors=row["_n"],
     )
 
 
-def _distance(xv: Column, yv: Column, p: int) -> Column:
-    sq = F.zip_with(xv, yv, lambda a, b: F.when(a.isNotNull() & b.isNotNull(), (a - b) * (a - b)))
-    both = F.filter(sq, lambda s: s.isNotNull())
-    n = F.size(both)
-    total = F.aggregate(both, F.lit(0.0), lambda acc, s: acc + s)
+def _distance(p: int) -> Column:
+    """NaN-Euclidean distance between receiver columns x{i} and donor columns d{i}, unrolled
+    into plain arithmetic (whole-stage codegen, no arrays)."""
+    both = [F.col(f"x{i}").isNotNull() & F.col(f"d{i}").isNotNull() for i in range(p)]
+    n = sum((b.cast("int") for b in both), F.lit(0))
+    total = F.lit(0.0)
+    for i, b in enumerate(both):
+        diff = F.col(f"x{i}") - F.col(f"d{i}")
+        total = total + F.when(b, diff * diff).otherwise(F.lit(0.0))
     return F.when(n > 0, F.sqrt(F.lit(float(p)) / n * total))
 
 
@@ -104,12 +123,15 @@ def knn_transform(model: KnnModel, df: DataFrame) -> DataFrame:
     """IMP-01/02/03 apply: fill the NULL cells of ``model.cols``; other columns pass through."""
     key, cols, p = model.key, model.cols, len(model.cols)
     spark = df.sparkSession
-    any_null = F.exists(F.array(*[qcol(c).isNull() for c in cols]), lambda x: x)
-    recv = df.where(any_null).select(
+    # project first, then filter on the derived miss list: a NULL-test filter written over
+    # the aliased source columns makes Catalyst's alias-constraint inference exponential
+    recv = df.select(
         F.struct(*[qcol(c) for c in key]).alias("_rk"),
-        F.array(*[qcol(c).cast("double") for c in cols]).alias("_rv"),
-        _pattern(cols).alias("_rpat"),
-    ).withColumn("_miss", F.filter(F.sequence(F.lit(0), F.lit(p - 1)), lambda i: F.col("_rv")[i].isNull()))
+        *[qcol(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)],
+        _pattern(cols, model.band_cols).alias("_rpat"),
+        F.filter(F.array(*[F.when(qcol(c).isNull(), F.lit(i)) for i, c in enumerate(cols)]),
+                 lambda v: v.isNotNull()).alias("_miss"),
+    ).where(F.size("_miss") > 0)
     recv = materialize(recv)
     key_type = recv.schema["_rk"].dataType.simpleString()
     if model.n_donors == 0 or recv.isEmpty():
@@ -133,43 +155,50 @@ def knn_transform(model: KnnModel, df: DataFrame) -> DataFrame:
 
 
 def _plan(model: KnnModel, recv: DataFrame) -> DataFrame:
-    """(receiver pattern, donor pattern) -> band column c*, the widest shared column."""
+    """(receiver pattern, donor pattern) -> band column: the widest band column present in
+    both, else the widest never-NULL column. At most 4^band_width rows."""
     spark = recv.sparkSession
     rpats = [r[0] for r in recv.select("_rpat").distinct().collect()]
     dpats = [r[0] for r in model.donors.select("_dpat").distinct().collect()]
-    if len(rpats) * len(dpats) > model.max_plan:
-        raise ValueError(f"KNN pattern plan has {len(rpats)} x {len(dpats)} entries (> {model.max_plan})")
+    fallback = max(model.never_null, key=lambda i: (model.spread[i], -i)) if model.never_null else None
     rows = []
     for rp in rpats:
         for dp in dpats:
-            shared = [i for i in range(len(rp)) if rp[i] == "1" and dp[i] == "1"]
-            if shared:
-                rows.append((rp, dp, max(shared, key=lambda i: (model.spread[i], -i))))
+            shared = [model.band_cols[j] for j in range(len(rp)) if rp[j] == "1" and dp[j] == "1"]
+            c = shared[0] if shared else fallback
+            if c is None:
+                raise ValueError("KNN imputation: a pattern pair shares no bounded column; add a column "
+                                 "without NULLs (e.g. a calendar part)")
+            rows.append((rp, dp, c))
     return spark.createDataFrame(rows, "_rpat string, _dpat string, _c int")
 
 
 def _knn_rounds(model: KnnModel, recv: DataFrame) -> DataFrame:
     k, p = model.k, len(model.cols)
-    plan = F.broadcast(_plan(model, recv))  # size checked in _plan
+    plan = F.broadcast(_plan(model, recv))  # bounded by 4^band_width rows
+    dcols = [f"d{i}" for i in range(p)]
     donors = materialize(
-        model.donors.join(plan.select("_dpat", "_c").distinct(), "_dpat").withColumn("_z", F.col("_dv")[F.col("_c")])
+        model.donors.join(plan.select("_dpat", "_c").distinct(), "_dpat")
+        .withColumn("_dz", F.element_at(F.array(*dcols), F.col("_c") + 1))
     )
-    rr = recv.agg(*[x for i in range(p) for x in (F.min(F.col("_rv")[i]), F.max(F.col("_rv")[i]))]).first()
+    rr = recv.agg(*[x for i in range(p) for x in (F.min(f"x{i}"), F.max(f"x{i}"))]).first()
     span = 0.0
     for i in range(p):
         los = [v for v in (model.lo[i], rr[2 * i]) if v is not None]
         his = [v for v in (model.hi[i], rr[2 * i + 1]) if v is not None]
         if los and his:
             span = max(span, max(his) - min(los))
-    widest = max(range(p), key=lambda i: model.spread[i])
-    wlo, whi = model.lo[widest], model.hi[widest]
-    base = (whi - wlo) if wlo is not None and whi is not None else span
-    r = max(base * 2.0 * k / max(model.n_donors, 1), 1e-9)
+    # first radius: typical k-NN distance guess from the columns' spread; exactness does not
+    # depend on it, only the number of rounds does
+    rand_d = (2.0 * sum(s * s for s in model.spread)) ** 0.5
+    r = max(rand_d * (k / max(model.n_donors, 1)) ** (1.0 / 6.0), 1e-9)
 
     parts = []
     pending = recv
+    n_pending = pending.count()
     while True:
-        final = r >= span
+        # once a band this wide reaches (nearly) every donor, settle everything in one round
+        final = r * 4.0 >= span
         got = _settle(pending, donors, plan, k, p, r, final)
         if final:
             parts.append(got)
@@ -181,9 +210,11 @@ def _knn_rounds(model: KnnModel, recv: DataFrame) -> DataFrame:
                 .withColumn("_miss", F.array_except("_miss", F.coalesce("_done", F.array().cast("array<int>"))))
                 .drop("_done").where(F.size("_miss") > 0))
         pending = materialize(left)
-        if pending.isEmpty():
+        n_left = pending.count()
+        if n_left == 0:
             break
-        r *= 4.0
+        r *= 4.0 if n_left < n_pending / 2 else 16.0
+        n_pending = n_left
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)
@@ -193,17 +224,21 @@ def _knn_rounds(model: KnnModel, recv: DataFrame) -> DataFrame:
 def _settle(recv: DataFrame, donors: DataFrame, plan: DataFrame, k: int, p: int, r: float,
             final: bool) -> DataFrame:
     """One band round -> settled cells (_rk, _j, _val)."""
-    rx = recv.join(plan, "_rpat").withColumn("_z", F.col("_rv")[F.col("_c")])
+    xcols = [f"x{i}" for i in range(p)]
+    salts = max(recv.sparkSession.sparkContext.defaultParallelism, 1)
+    rx = recv.join(plan, "_rpat").withColumn("_z", F.element_at(F.array(*xcols), F.col("_c") + 1))
     rb = rx.withColumn("_b", F.explode(F.array(*[F.floor(F.col("_z") / r) + d for d in (-1, 0, 1)])))
-    db = donors.select("_dk", "_dv", "_dpat", "_c", F.col("_z").alias("_dz"), F.floor(F.col("_z") / r).alias("_b"))
-    pairs = rb.join(db, ["_dpat", "_c", "_b"]).where(F.abs(F.col("_z") - F.col("_dz")) <= r)
-    d = _distance(F.col("_rv"), F.col("_dv"), p)
-    cand = pairs.select("_rk", "_dk", "_dv", "_miss", d.alias("_d")).where(F.col("_d").isNotNull())
-    if not final:
-        cand = cand.where(F.col("_d") <= r)
-    cells = cand.select("_rk", "_dk", "_d", F.explode("_miss").alias("_j"), "_dv").select(
-        "_rk", "_dk", "_d", "_j", F.col("_dv")[F.col("_j")].alias("_y")
-    ).where(F.col("_y").isNotNull())
+    # a wide band puts many donors into one bucket: spread each bucket's donors over
+    # `salts` sub-buckets and copy receivers to each, so no task holds a whole bucket
+    rb = rb.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    db = donors.withColumn("_b", F.floor(F.col("_dz") / r)).withColumn(
+        "_s", F.pmod(F.xxhash64("_dk"), F.lit(salts)).cast("int"))
+    pairs = rb.join(db, ["_dpat", "_c", "_b", "_s"]).where(F.abs(F.col("_z") - F.col("_dz")) <= r)
+    cand = pairs.select("_rk", "_dk", "_miss", *[f"d{i}" for i in range(p)], _distance(p).alias("_d"))
+    cand = cand.where(F.col("_d").isNotNull() if final else F.col("_d") <= r)
+    cells = cand.select(
+        "_rk", "_dk", "_d", F.explode("_miss").alias("_j"), F.array(*[f"d{i}" for i in range(p)]).alias("_dv")
+    ).select("_rk", "_dk", "_d", "_j", F.col("_dv")[F.col("_j")].alias("_y")).where(F.col("_y").isNotNull())
     w = Window.partitionBy("_rk", "_j").orderBy("_d", "_dk")
     ranked = cells.select("_rk", "_j", "_y", F.row_number().over(w).alias("_rn"),
                           F.count(F.lit(1)).over(Window.partitionBy("_rk", "_j")).alias("_cnt"))

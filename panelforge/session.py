@@ -23,11 +23,13 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app: str = "panelforge", extra: dict | None = None) -> SparkSession:
+                  app: str = "panelforge", extra: dict | None = None, driver_memory: str = "16g") -> SparkSession:
     builder = SparkSession.builder.appName(app)
+    conf = dict(DEFAULT_CONF)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+        if master.startswith("local"):
+            conf["spark.driver.memory"] = driver_memory  # local mode: the driver JVM runs the tasks
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
