@@ -45,7 +45,7 @@ class Prepared:
     scaled_features: list[str]  # model input for scaled-input models
     imputed: list[str]
     scaled: list[str]
-    knn: I.KnnModel
+    knn: I.KnnModel | None
     scaler: dict
     index_bounds: dict
     suffix: str = "_s"
@@ -88,7 +88,10 @@ def numeric_columns(df: DataFrame, exclude) -> list[str]:
 
 
 def prepare(panel: DataFrame, spec: PanelSpec, cutoffs: tuple[str, str, str], opts: FeatureOptions | None = None,
-            k: int = 5, no_scale=("IsWeekend", "in_period", "Year"), suffix: str = "_s") -> Prepared:
+            k: int = 5, no_scale=("IsWeekend", "in_period", "Year"), suffix: str = "_s",
+            impute: str = "knn") -> Prepared:
+    """``impute="knn"`` is the pipeline's KNN imputation; ``impute="ffill"`` fills each
+    series forward then backward (POL-01) and falls back to the training mean."""
     opts = opts or FeatureOptions()
     feats = feature_panel(panel, spec, opts, cutoffs)
     feats = CL.drop_null_target(feats, spec.target)  # FLT-01
@@ -98,8 +101,14 @@ def prepare(panel: DataFrame, spec: PanelSpec, cutoffs: tuple[str, str, str], op
     exclude = {spec.entity, *spec.placeholders, spec.target, *NON_FEATURE}
     imp_cols = [c for c in numeric_columns(split, exclude) if c not in (spec.time,)]
     train = split.where("split = 'train'")
-    knn = I.fit_knn(train, [spec.entity, spec.time], imp_cols, k=k)  # IMP-01 fit
-    imputed = I.materialize(knn.transform(split))  # IMP-01/02 apply
+    if impute == "knn":
+        knn = I.fit_knn(train, [spec.entity, spec.time], imp_cols, k=k)  # IMP-01 fit
+        imputed = I.materialize(knn.transform(split))  # IMP-01/02 apply
+    else:
+        knn = None
+        means = train.agg(*[F.avg(F.col(f"`{c}`")).alias(c) for c in imp_cols]).first()
+        filled = I.ffill_bfill(split, spec.entity, spec.order_cols, imp_cols, opts.chunk_days or 90)
+        imputed = I.materialize(filled.fillna({c: means[c] for c in imp_cols if means[c] is not None}))
     scale_cols = [c for c in imp_cols if c not in set(no_scale)]  # PRJ-04
     params = SC.fit_scaler(imputed.where("split = 'train'"), scale_cols)  # SCL-01
     data = SC.apply_scaler(imputed, params, suffix=suffix)
@@ -122,12 +131,12 @@ LI_OPTS = FeatureOptions(
 _MEMO: dict = {}
 
 
-def prepared_li(spark, sf_dir: str) -> Prepared:
-    """Prepared LI panel, materialised once per session and scale (queries share it)."""
+def prepared_li(spark, sf_dir: str, impute: str = "knn") -> Prepared:
+    """Prepared LI panel, materialised once per session, scale and imputation mode."""
     from ..sources.tables import li_panel
     from ..spec import LI_CUTOFFS, LI_PANEL
 
-    key = (id(spark), sf_dir)
+    key = (id(spark), sf_dir, impute)
     hit = _MEMO.get(key)
     if hit is not None:
         try:
@@ -135,6 +144,6 @@ def prepared_li(spark, sf_dir: str) -> Prepared:
             return hit
         except Exception:
             _MEMO.pop(key, None)
-    out = prepare(li_panel(spark, sf_dir), LI_PANEL, LI_CUTOFFS, LI_OPTS)
+    out = prepare(li_panel(spark, sf_dir), LI_PANEL, LI_CUTOFFS, LI_OPTS, impute=impute)
     _MEMO[key] = out
     return out
