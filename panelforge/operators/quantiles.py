@@ -48,8 +48,10 @@ def _bucket_case(v: Column, cuts: list[float]) -> Column:
 
 def _select_ranks(v: DataFrame, n: int, ranks: list[int], collect_max: int, n_cuts: int,
                   accuracy: int) -> dict[int, float]:
-    # interval: (lo, hi] bounds (None = unbounded), count of values <= lo, size, ranks inside
-    pending = [(None, None, 0, n, sorted(set(ranks)))]
+    # interval: (lo, hi] bounds (None = unbounded), count of values <= lo, size, ranks inside,
+    # and the (min, max) of its values when known (their midpoint is always used as a cut,
+    # so every round splits the interval even where approximate cuts do not)
+    pending = [(None, None, 0, n, sorted(set(ranks)), None)]
     found: dict[int, float] = {}
     while pending:
         small = [iv for iv in pending if iv[3] <= collect_max]
@@ -66,10 +68,10 @@ def _select_ranks(v: DataFrame, n: int, ranks: list[int], collect_max: int, n_cu
 
         if small:
             cond = None
-            for lo, hi, _, _, _ in small:
+            for lo, hi, _, _, _, _ in small:
                 cond = inside(lo, hi) if cond is None else cond | inside(lo, hi)
             vals = sorted(r[0] for r in v.where(cond).collect())
-            for lo, hi, below, _, rks in small:
+            for lo, hi, below, _, rks, _ in small:
                 seg = [x for x in vals if (lo is None or x > lo) and (hi is None or x <= hi)]
                 for r in rks:
                     found[r] = seg[r - below]
@@ -78,12 +80,15 @@ def _select_ranks(v: DataFrame, n: int, ranks: list[int], collect_max: int, n_cu
         grid = [(i + 1) / (n_cuts + 1) for i in range(n_cuts)]
         cut_aggs = [
             F.percentile_approx(F.when(inside(lo, hi), F.col("v")), grid, accuracy).alias(f"c{i}")
-            for i, (lo, hi, _, _, _) in enumerate(big)
+            for i, (lo, hi, _, _, _, _) in enumerate(big)
         ]
         cut_row = v.agg(*cut_aggs).first()
         bucket_exprs, plans = [], []
-        for i, (lo, hi, below, size, rks) in enumerate(big):
-            cuts = sorted({x for x in (cut_row[f"c{i}"] or []) if (lo is None or x > lo) and (hi is None or x < hi)})
+        for i, (lo, hi, below, size, rks, span) in enumerate(big):
+            cand = list(cut_row[f"c{i}"] or [])
+            if span is not None:
+                cand.append(span[0] + (span[1] - span[0]) / 2.0)
+            cuts = sorted({x for x in cand if (lo is None or x > lo) and (hi is None or x < hi)})
             plans.append(cuts)
             bucket_exprs.append(F.when(inside(lo, hi), F.struct(F.lit(i).alias("iv"),
                                                                  _bucket_case(F.col("v"), cuts).alias("b"))))
@@ -94,7 +99,7 @@ def _select_ranks(v: DataFrame, n: int, ranks: list[int], collect_max: int, n_cu
         by_iv: dict[int, dict[int, tuple]] = {}
         for r in stats:
             by_iv.setdefault(r["iv"], {})[r["b"]] = (r["cnt"], r["mn"], r["mx"])
-        for i, (lo, hi, below, size, rks) in enumerate(big):
+        for i, (lo, hi, below, size, rks, _) in enumerate(big):
             cuts = plans[i]
             acc = below
             buckets = by_iv.get(i, {})
@@ -108,7 +113,7 @@ def _select_ranks(v: DataFrame, n: int, ranks: list[int], collect_max: int, n_cu
                     else:
                         blo = lo if b == 0 else cuts[b - 1]
                         bhi = hi if b == len(cuts) else cuts[b]
-                        pending.append((blo, bhi, acc, cnt, in_b))
+                        pending.append((blo, bhi, acc, cnt, in_b, (mn, mx)))
                 acc += cnt
     return found
 
