@@ -44,7 +44,8 @@ def main() -> None:
 
     def preprocess():
         p = CL.remove_exact_duplicates(li_panel(spark, SF_DIR))
-        return C.add_calendar(p, "day", period=LI_OPTS.period)
+        return C.add_calendar(p, "day", period=LI_OPTS.period,
+                              names=("Year", "Month", "DayOfMonth", "DayOfWeek", "IsWeekend"))
 
     def features():
         return feature_panel(li_panel(spark, SF_DIR), LI_PANEL, LI_OPTS, LI_CUTOFFS)

@@ -77,14 +77,15 @@ def cyclical(col: str | Column, period: float) -> tuple[Column, Column]:
 
 
 def add_calendar(df: DataFrame, date_col: str, period: tuple[str, str] | None = (PERIOD_START, PERIOD_END),
-                 season_map: dict[int, str] | None = None, period_name: str = "is_lockdown") -> DataFrame:
-    """The preprocessing block: calendar parts, season and period flag."""
-    cols = calendar_columns(date_col)
-    out = df.select("*", *cols)
-    extra = {"Season": season_expr("Month", season_map)}
+                 season_map: dict[int, str] | None = None, period_name: str = "is_lockdown",
+                 names=("Year", "Month", "Day", "DayOfWeek", "IsWeekend"), season_name: str = "Season") -> DataFrame:
+    """The preprocessing block: calendar parts, season and period flag, all computed in one
+    ``select`` from the date column (so new names never shadow it)."""
+    cols = calendar_columns(date_col, names)
+    cols.append(season_expr(F.month(_c(date_col)), season_map).alias(season_name))
     if period is not None:
-        extra[period_name] = period_flag(date_col, *period)
-    return out.withColumns(extra)
+        cols.append(period_flag(date_col, *period).alias(period_name))
+    return df.select("*", *cols)
 
 
 def add_cyclical(df: DataFrame, month_col: str = "Month", dow_col: str = "DayOfWeek") -> DataFrame:

@@ -49,12 +49,18 @@ def _pandas_reference(pdf):
     return pd.concat(out)
 
 
+def _cell(x):
+    if x is None or (isinstance(x, float) and math.isnan(x)):
+        return (0, "")
+    if isinstance(x, float):
+        return (1, repr(round(x, 9) + 0.0))
+    if hasattr(x, "isoformat"):
+        return (1, x.isoformat()[:10])
+    return (1, repr(x))
+
+
 def _rows(df):
-    return sorted(
-        tuple(None if (isinstance(x, float) and math.isnan(x)) else (round(x, 9) if isinstance(x, float) else x)
-              for x in r)
-        for r in df
-    )
+    return sorted(tuple(_cell(x) for x in r) for r in df)
 
 
 @pytest.mark.parametrize("chunk", [None, 3, 10, 90])
