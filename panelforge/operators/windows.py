@@ -19,14 +19,16 @@ breaks when one entity holds a large share of the rows. With ``chunk_days``
    table), then the halo copies are dropped.
 
 The recomputed subset is at most ``reach`` rows per chunk (+ ``reach`` halo
-rows), so the full data is shuffled once and a hot entity is spread over
-many tasks. The result is identical to the unchunked window.
+rows). The windowed pass is persisted and read by all three branches, so the
+full data is shuffled once and a hot entity is spread over many tasks. The
+result is identical to the unchunked window.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,17 +125,21 @@ def add_window_features(df: DataFrame, entity: str, order_cols: list[str], featu
     if reach == 0:
         return base.select(*[qcol(c) for c in cols], *feats)
 
+    # one shuffle + sort + window of the full input; the exact rows, the chunk heads and
+    # the halo tails are all read from this one persisted result (lost blocks are
+    # recomputed from lineage)
     main = base.select(
         *[qcol(c) for c in cols],
         F.col("_chunk"),
         (F.row_number().over(w) - 1).alias("_idx"),
         F.count(F.lit(1)).over(Window.partitionBy(*part)).alias("_n"),
         *feats,
-    )
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     exact = main.where(F.col("_idx") >= reach).select(*[qcol(c) for c in cols], *[F.col(f.name) for f in features])
 
-    # chunk starts: exclusive prefix sum of chunk sizes within the entity (one row per chunk)
-    chunks = main.groupBy(qcol(entity).alias("_e"), F.col("_chunk").alias("_c")).agg(F.count(F.lit(1)).alias("_cn"))
+    # chunk starts: exclusive prefix sum of chunk sizes within the entity (one row per chunk,
+    # from a map-side combined count of the input)
+    chunks = base.groupBy(qcol(entity).alias("_e"), F.col("_chunk").alias("_c")).agg(F.count(F.lit(1)).alias("_cn"))
     chunks = chunks.withColumn(
         "_start",
         F.coalesce(
@@ -141,16 +147,19 @@ def add_window_features(df: DataFrame, entity: str, order_cols: list[str], featu
             F.lit(0),
         ),
     )
-    starts = chunks.select("_e", F.col("_c").alias("_target"), F.col("_start").alias("_tpos"))
+    starts = chunks.select(F.col("_e").alias("_se"), F.col("_c").alias("_target"), F.col("_start").alias("_stpos"))
 
     # the last `reach` rows of each chunk are copied into every later chunk that starts
     # within `reach` rows after them
     tail = (
         main.where(F.col("_n") - F.col("_idx") <= reach)
-        .join(chunks.select("_e", "_c", "_start"), (qcol(entity) == F.col("_e")) & (F.col("_chunk") == F.col("_c")))
+        # null-safe: a NULL entity is a series too (and no IsNotNull filter gets pushed into this
+        # branch, so all three branches share one exchange of the input)
+        .join(chunks.select("_e", "_c", "_start"),
+              qcol(entity).eqNullSafe(F.col("_e")) & (F.col("_chunk") == F.col("_c")))
         .withColumn("_pos", F.col("_start") + F.col("_idx"))
         .withColumn("_tpos", F.explode(F.sequence(F.col("_pos") + 1, F.col("_pos") + reach)))
-        .join(starts, ["_e", "_tpos"])
+        .join(starts, F.col("_e").eqNullSafe(F.col("_se")) & (F.col("_tpos") == F.col("_stpos")))
         .select(*[qcol(c) for c in cols], F.col("_target").alias("_chunk"), F.lit(True).alias("_halo"))
     )
     head = main.where(F.col("_idx") < reach).select(*[qcol(c) for c in cols], "_chunk", F.lit(False).alias("_halo"))
