@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,7 +122,17 @@ def _select_ranks(v: DataFrame, n: int, ranks: list[int], collect_max: int, n_cu
 def exact_quantiles(df: DataFrame, col: str | Column, probs: list[float], collect_max: int = 200_000,
                     n_cuts: int = 255, accuracy: int = 100_000) -> list[float | None]:
     c = _c(col) if isinstance(col, str) else col
+    # the refinement reads the column several times: keep the one projected column for the
+    # duration of the call (spills to disk when large; released before returning)
     v = df.select(c.cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    v = v.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _exact(v, probs, collect_max, n_cuts, accuracy)
+    finally:
+        v.unpersist()
+
+
+def _exact(v: DataFrame, probs, collect_max, n_cuts, accuracy):
     n = v.count()
     if n == 0:
         return [None] * len(probs)
