@@ -190,16 +190,21 @@ def _knn_rounds(model: KnnModel, recv: DataFrame) -> DataFrame:
             span = max(span, max(his) - min(los))
     # first radius: typical k-NN distance guess from the columns' spread; exactness does not
     # depend on it, only the number of rounds does
-    rand_d = (2.0 * sum(s * s for s in model.spread)) ** 0.5
-    r = max(rand_d * (k / max(model.n_donors, 1)) ** (1.0 / 6.0), 1e-9)
-
+    # random-pair distance scale and the effective dimension of the spread (participation
+    # ratio of the column variances): k-NN distances shrink like (k/N)^(1/D_eff)
+    var = [s * s for s in model.spread]
+    rand_d = (2.0 * sum(var)) ** 0.5
+    d_eff = max((sum(var) ** 2) / max(sum(v * v for v in var), 1e-300), 1.0)
+    r = max(0.25 * rand_d * (k / max(model.n_donors, 1)) ** (1.0 / d_eff), 1e-9)
+
+    parallel = max(recv.sparkSession.sparkContext.defaultParallelism, 1)
     parts = []
     pending = recv
     n_pending = pending.count()
     while True:
         # once a band this wide reaches (nearly) every donor, settle everything in one round
         final = r * 4.0 >= span
-        got = _settle(pending, donors, plan, k, p, r, final)
+        got = _settle(pending, donors, plan, k, p, r, final, salted=final or r * 8.0 * parallel >= span)
         if final:
             parts.append(got)
             break
@@ -222,10 +227,10 @@ def _knn_rounds(model: KnnModel, recv: DataFrame) -> DataFrame:
 
 
 def _settle(recv: DataFrame, donors: DataFrame, plan: DataFrame, k: int, p: int, r: float,
-            final: bool) -> DataFrame:
-    """One band round -> settled cells (_rk, _j, _val)."""
+            final: bool, salted: bool = True) -> DataFrame:
+    """One band round -> settled cells (_rk, _j, _val). ``salted`` spreads wide buckets."""
     xcols = [f"x{i}" for i in range(p)]
-    salts = max(recv.sparkSession.sparkContext.defaultParallelism, 1)
+    salts = max(recv.sparkSession.sparkContext.defaultParallelism, 1) if salted else 1
     rx = recv.join(plan, "_rpat").withColumn("_z", F.element_at(F.array(*xcols), F.col("_c") + 1))
     rb = rx.withColumn("_b", F.explode(F.array(*[F.floor(F.col("_z") / r) + d for d in (-1, 0, 1)])))
     # a wide band puts many donors into one bucket: spread each bucket's donors over

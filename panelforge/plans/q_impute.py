@@ -95,7 +95,7 @@ SELECT f.entity, f.day, {fill}, round(f.q, 6) AS q FROM f
 def knn_impute(spark, sf):
     """IMP-01: k=5 NaN-Euclidean KNN imputation fitted on the train split, applied to all
     rows (unscaled distance over channels and calendar parts)."""
-    f = _knn_input(spark, sf)
+    f = I.materialize(_knn_input(spark, sf))  # read by the fit (twice) and the transform (twice)
     train = f.where(F.col("day") <= F.lit(_T1).cast("date"))
     model = I.fit_knn(train, ["entity", "day"], KNN_COLS, k=5)
     out = model.transform(f)
