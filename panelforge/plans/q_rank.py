@@ -274,3 +274,30 @@ def latest_per_entity(spark, sf):
         F.max_by(F.struct("o_orderkey", "d", "o_totalprice"), F.struct("d", "o_orderkey")).alias("_l"))
     return round_doubles(g.select("o_custkey", "_l.o_orderkey", F.col("_l.d").alias("o_orderdate"),
                                   "_l.o_totalprice"))
+
+
+_FILES_SQL = f"""
+WITH {_REC}
+SELECT model, round(train_r2, 6) AS train_r2, round(validation_r2, 6) AS validation_r2, round(test_r2, 6) AS test_r2,
+  round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(train_time_s, 6) AS train_time_s
+FROM rec
+"""
+
+
+@query("metrics_files", _FILES_SQL)
+def metrics_files(spark, sf):
+    """SNK-03 -> SRC-04: per-supplier metric records written as one JSON object per file
+    (a partition directory per model), read back with the schema-checked JSON reader that
+    skips malformed files, and flattened (PRJ-07)."""
+    from ..sources import files as IO
+    from ..streaming.pipeline import scratch
+
+    out = scratch(spark, "metrics")
+    recs = ST.supplier_records(spark, sf).select(
+        F.col("model").alias("model_name"), "uses_scaled", "train_time_s", "train_r2", "validation_r2", "test_r2",
+        "validation_mae", "validation_rmse", "validation_mape", "validation_pred_time",
+        F.col("s_suppkey").alias("part"))
+    IO.write_table(recs, out, "json", partition_by=["part"])
+    got = IO.read_json_records(spark, out, IO.METRICS_SCHEMA, ".json", key="model_name").drop("part")
+    ev = R.evaluation_rows(got.withColumnRenamed("model_name", "model"))
+    return round_doubles(ev.select("model", "train_r2", "validation_r2", "test_r2", "mae", "rmse", "train_time_s"))

@@ -4,6 +4,7 @@ import datetime as dt
 import math
 
 import numpy as np
+from pyspark.sql import types as T
 
 from panelforge.operators import impute as I
 from panelforge.operators import scale as SC
@@ -79,3 +80,20 @@ def test_ffill_bfill_across_chunks(spark):
     df = spark.createDataFrame([(1, D0 + dt.timedelta(days=i), v) for i, v in enumerate(vals)], "e int, d date, v double")
     got = [r.v for r in I.ffill_bfill(df, "e", ["d"], ["v"], chunk_days=2).orderBy("d").collect()]
     assert got == [1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 2.0, 2.0]
+
+
+def test_json_records_skip_malformed_and_default_key(spark, tmp_path):
+    from panelforge.sources import files as IO
+
+    d = tmp_path / "metrics"
+    d.mkdir()
+    (d / "OLS_metrics.json").write_text('{"model_name": "OLS", "validation_r2": 0.9}')
+    (d / "Tree_metrics.json").write_text('{"validation_r2": 0.7}')  # key from the file stem
+    (d / "Bad_metrics.json").write_text('{"model_name": ')  # malformed: skipped
+    (d / "notes.txt").write_text("ignored")
+    got = IO.read_json_records(spark, str(d), IO.METRICS_SCHEMA, "_metrics.json", key="model_name")
+    rows = sorted((r.model_name, r.validation_r2) for r in got.collect())
+    assert rows == [("OLS", 0.9), ("Tree", 0.7)]
+    good, report = IO.read_permissive(spark, str(d / "OLS_metrics.json"), T.StructType(
+        [T.StructField("model_name", T.StringType())]), fmt="json")
+    assert report.first().corrupt_rows == 0 and good.count() == 1
