@@ -112,6 +112,20 @@ def importance_table(spark: SparkSession, model, features: list[str], model_name
     return out.withColumn("family", F.lit(fam))
 
 
+def training_importances(spark: SparkSession, results, features: list[str], scaled_features: list[str]):
+    """EXP-06: one ranked importance table per trained model (unsupported families skipped),
+    unioned into one table keyed by model."""
+    out = None
+    for r in results:
+        t = importance_table(spark, r.model, scaled_features if r.uses_scaled else features, r.name)
+        if t is None:
+            continue
+        t = t.select("model", "family", "feature", "importance", "rank", "importance_pct", "cumulative_pct")
+        out = t if out is None else out.unionByName(t)
+    return out if out is not None else empty_importance(spark).select(
+        "model", "family", "feature", "importance", "rank", "importance_pct", "cumulative_pct")
+
+
 def importance_document(imp: DataFrame, method: str) -> DataFrame:
     """SNK-05: one nested row per model: header fields + array of records in rank order
     (bounded by the model's feature count)."""

@@ -45,16 +45,11 @@ for _q, _m in [("train_ols", "LinearRegression"), ("train_ridge", "Ridge"), ("tr
 @query("importances")
 def importances(spark, sf):
     """EXP-02/03 + WIN-08: ranked importance tables of a linear and a tree model."""
-    out = None
+    results, p = [], None
     for name in ("LinearRegression", "DecisionTree"):
         res, p = _train(name, spark, sf)
-        feats = p.scaled_features if res.uses_scaled else p.features
-        t = X.importance_table(spark, res.model, feats, name)
-        if t is None:
-            continue
-        t = t.select("model", "family", "feature", "importance", "rank", "importance_pct", "cumulative_pct")
-        out = t if out is None else out.unionByName(t)
-    return out
+        results.append(res)
+    return X.training_importances(spark, results, p.features, p.scaled_features)
 
 
 def li_requests(spark, sf):
