@@ -91,3 +91,14 @@ def policy_clean(df: DataFrame, entity: str, time: str, target: str, lo: float =
     order = [_c(c) for c in (order_cols or df.columns)]
     w = Window.partitionBy(_c(entity), _c(time)).orderBy(*order)
     return kept.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def combine_sources(history: DataFrame, live: DataFrame, enrich: DataFrame, keys: list[str],
+                    fill: list[str]) -> DataFrame:
+    """POL-08: history UNION ALL live readings (columns aligned by name), then placeholder
+    columns ``fill`` taken from an enrichment table by an equi-join on ``keys``."""
+    both = history.unionByName(live, allowMissingColumns=True)
+    e = enrich.select(*keys, *[_c(c).alias(f"_e_{c}") for c in fill])
+    j = both.join(e, keys, "left")
+    return j.withColumns({c: F.coalesce(_c(c), F.col(f"_e_{c}")) if c in both.columns else F.col(f"_e_{c}")
+                         for c in fill}).drop(*[f"_e_{c}" for c in fill])

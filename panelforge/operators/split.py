@@ -36,6 +36,14 @@ def chronological_split(df: DataFrame, time: str, cutoffs: tuple[str, str, str],
     return out if keep_unassigned else out.where(F.col(name).isNotNull())
 
 
+def two_way_split(df: DataFrame, time: str, train_end: str, test_end: str, name: str = "split") -> DataFrame:
+    """POL-09: ``<= train_end`` train, ``(train_end, test_end]`` test; the rest dropped."""
+    t = _c(time).cast("date")
+    lab = F.when(t <= F.lit(train_end).cast("date"), F.lit("train")).when(
+        t <= F.lit(test_end).cast("date"), F.lit("test"))
+    return df.withColumn(name, lab).where(F.col(name).isNotNull())
+
+
 def split_counts(df: DataFrame, split_col: str = "split") -> dict[str, int]:
     """Row count per split (tiny driver-side dict used by the VAL-13 guard)."""
     return {r[0]: r[1] for r in df.groupBy(split_col).count().collect()}

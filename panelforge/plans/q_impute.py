@@ -182,3 +182,54 @@ def policy_clean(spark, sf):
     )
     out = CL.policy_clean(o, "o_custkey", "d", "target", 0.0, 500.0, order_cols=["o_orderkey"])
     return round_doubles(out)
+
+
+_LONG_SQL = LI + """
+SELECT entity, day, round(lag(q, 14) OVER w, 6) AS q_lag_14, round(lag(q, 30) OVER w, 6) AS q_lag_30,
+  round(avg(q) OVER (w ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING), 6) AS q_roll_mean_14,
+  round(avg(q) OVER (w ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING), 6) AS q_roll_mean_30
+FROM p WINDOW w AS (PARTITION BY entity ORDER BY day)
+"""
+
+
+@query("long_lags", _LONG_SQL)
+def long_lags(spark, sf):
+    """POL-07: lags 14 / 30 and rolling means 14 / 30 (look-back longer than a 20-day chunk)."""
+    from ..operators import windows as W
+
+    feats = W.lag_features({"q": [14, 30]}) + W.rolling_features("q", means=(14, 30), stats_n=None)
+    out = W.add_window_features(li_panel(spark, sf), "entity", ["day"], feats, chunk_days=20)
+    return round_doubles(out.select("entity", "day", *[f.name for f in feats]))
+
+
+@query("two_way_split", LI + """
+SELECT entity, day, CASE WHEN day <= DATE '1999-12-31' THEN 'train' ELSE 'test' END AS split
+FROM p WHERE day <= DATE '2000-12-31'
+""")
+def two_way_split(spark, sf):
+    """POL-09: the alternative two-way chronological split."""
+    return SP.two_way_split(li_panel(spark, sf).select("entity", "day"), "day", "1999-12-31", "2000-12-31")
+
+
+_COMBINE_SQL = LI + """
+, w AS (SELECT CAST(c_nationkey AS INTEGER) AS entity, CAST(o_orderdate AS DATE) AS day,
+  avg(o_totalprice) / 997 AS temperature FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)
+SELECT p.entity, p.day, round(p.q, 6) AS q, round(w.temperature, 6) AS temperature
+FROM p LEFT JOIN w ON p.entity = w.entity AND p.day = w.day
+"""
+
+
+@query("combine_sources", _COMBINE_SQL)
+def combine_sources(spark, sf):
+    """POL-08: history rows + live rows (the panel before / after 2000-12-31) combined, and the
+    weather placeholder filled from an enrichment table (mean order value per nation and day)."""
+    p = CL.add_placeholders(li_panel(spark, sf).select("entity", "day", "q"), ["temperature"])
+    hist = p.where(F.col("day") <= F.lit("2000-12-31").cast("date"))
+    live = p.where(F.col("day") > F.lit("2000-12-31").cast("date")).drop("temperature")
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    enrich = o.join(c, o.o_custkey == c.c_custkey).groupBy(
+        F.col("c_nationkey").cast("int").alias("entity"), F.col("o_orderdate").cast("date").alias("day")
+    ).agg((F.avg("o_totalprice") / 997).alias("temperature"))
+    out = CL.combine_sources(hist, live, enrich, ["entity", "day"], ["temperature"])
+    return round_doubles(out.select("entity", "day", "q", "temperature"))
