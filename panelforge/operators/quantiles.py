@@ -16,9 +16,8 @@ Each level shrinks an interval by roughly the number of cuts, so a column of
 settled at once (heavy duplicates). ``method="approx"`` is a single
 ``percentile_approx`` pass.
 
-Grouped quantiles use Spark's exact ``percentile`` aggregate, which combines
-partial (value -> count) maps map-side; its final state per group is bounded by
-the group's distinct values.
+Grouped quantiles rank each group's values with a range-partitioned sort and
+keep only the rows at the needed positions, so no group is gathered into one task.
 """
 
 from __future__ import annotations
@@ -164,7 +163,33 @@ def quantile_columns(df: DataFrame, col: str, probs: list[float], method: str =
 
 
 def exact_quantiles_grouped(df: DataFrame, keys: list[str], col: str, probs: list[float]) -> DataFrame:
-    """Per-group linear-interpolated quantiles as columns q0, q1, ..."""
-    arr = F.percentile(_c(col), F.array(*[F.lit(float(p)) for p in probs]))
-    g = df.groupBy(*keys).agg(arr.alias("_q"))
-    return g.select(*keys, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
+    """Per-group linear-interpolated quantiles as columns q0, q1, ...
+
+    Values are ranked inside each group by a range-partitioned sort (``global_rank``),
+    so a group holding a large share of the rows is spread over many tasks; only the rows
+    at the needed positions (two per probability and group) are kept and combined.
+    """
+    from .ordering import global_rank
+
+    v = _c(col).cast("double")
+    base = df.select(*[_c(k) for k in keys], v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = global_rank(base, [F.col("_v").asc()], "_r", group=keys)
+    need = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        lo = F.floor(pos).cast("long")
+        need.append(F.struct(F.lit(i).alias("i"), (lo + 1).alias("lo"),
+                             F.least(lo + 2, F.col("_n")).alias("hi"), (pos - lo).alias("frac")))
+    plan = counts.select(*keys, F.explode(F.array(*need)).alias("_q")).select(*keys, "_q.*")
+    hits = ranked.join(plan, keys).where((F.col("_r") == F.col("lo")) | (F.col("_r") == F.col("hi")))
+    per = hits.groupBy(*keys, "i").agg(
+        F.max(F.when(F.col("_r") == F.col("lo"), F.col("_v"))).alias("a"),
+        F.max(F.when(F.col("_r") == F.col("hi"), F.col("_v"))).alias("b"),
+        F.first("frac").alias("frac"),
+    )
+    val = F.when(F.col("frac") == 0, F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("frac"))
+    wide = per.groupBy(*keys).agg(*[F.max(F.when(F.col("i") == i, val)).alias(f"q{i}") for i in range(len(probs))])
+    # groups whose values are all NULL still get a row (NULL quantiles)
+    allg = df.select(*[_c(k) for k in keys]).distinct()
+    return allg.join(wide, keys, "left")

@@ -58,3 +58,20 @@ def test_zero_reading_rule(spark):
     assert parity == [12.0, None, 4.0, 3.0]
     fixed = [r[0] for r in df.select(B.first_present(F.col("a"), F.col("b"))).collect()]
     assert fixed == [0.0, 0.0, 4.0, 3.0]
+
+
+def test_grouped_quantiles_match_pandas(spark):
+    from panelforge.operators.quantiles import exact_quantiles_grouped
+
+    rng = np.random.default_rng(11)
+    rows = [("hot", float(x)) for x in rng.normal(0, 1, 700)] + [("b", 1.0), ("b", 4.0), ("c", None), ("d", 2.0)]
+    rows += [("hot", 0.5)] * 50  # duplicates
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.q0, r.q1) for r in exact_quantiles_grouped(df, ["g"], "v", [0.5, 0.9]).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "v"])
+    for g, grp in pdf.groupby("g"):
+        ref = grp["v"].quantile([0.5, 0.9]).tolist()
+        if grp["v"].notna().sum() == 0:
+            assert got[g] == (None, None)
+        else:
+            assert np.allclose(got[g], ref, atol=1e-12)
