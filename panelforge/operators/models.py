@@ -1,7 +1,8 @@
 """Spark ML regressors, the model registry and the training loop (ML-01..11, EXP-01..04, VAL-09).
 
-Every fit is a distributed Spark ML job over one cached training frame; the
-driver only loops over the (short) registry. Linear models on <= 4096 features
+Every fit is a distributed Spark ML job over the materialised model-ready table
+(the tree learners cache their binned input themselves); the driver only loops
+over the (short) registry. Linear models on <= 4096 features
 solve the normal equations from one ``treeAggregate`` of X'X; trees and
 ensembles use Spark's distributed histogram training.
 """
