@@ -37,3 +37,17 @@ def test_split_edges_inclusive_and_counted(spark):
                                  ["x"]).first()
     assert (report.train_missing, report.valid_missing, report.test_missing) == (1, 2, 2)
     assert report.train_pct == 100.0
+
+
+def test_period_edges_and_bad_dates(spark):
+    from panelforge.functions import calendar as C
+    from panelforge.operators import quality as Q
+
+    raw = ["2020-02-29", "2020-03-01", "2020-07-31", "2020-08-01", "2020-13-01", "", None]
+    df = spark.createDataFrame([(r,) for r in raw], "raw string").withColumn("d", C.parse_date("raw"))
+    out = C.add_calendar(df, "d", names=("Y", "M", "DD", "DOW", "WK")).collect()
+    assert [r.is_lockdown for r in out] == [0, 1, 1, 0, 0, 0, 0]
+    assert [r.WK for r in out][4:] == [0, 0, 0] and [r.M for r in out][4:] == [None, None, None]
+    assert out[0].DOW == 5 and out[0].WK == 1 and out[0].Season == "Winter"  # 2020-02-29 is a Saturday
+    rng = Q.date_range(df, "raw").first()
+    assert rng.invalid_dates == 2 and rng.span_days == 154  # '' and '2020-13-01'; NULL is not counted
