@@ -51,3 +51,21 @@ def test_period_edges_and_bad_dates(spark):
     assert out[0].DOW == 5 and out[0].WK == 1 and out[0].Season == "Winter"  # 2020-02-29 is a Saturday
     rng = Q.date_range(df, "raw").first()
     assert rng.invalid_dates == 2 and rng.span_days == 154  # '' and '2020-13-01'; NULL is not counted
+
+
+def test_constant_channel_and_duplicates(spark):
+    from panelforge.functions import index as IDX
+    from panelforge.operators import clean as CL
+    from panelforge.operators import rank as R
+
+    df = spark.createDataFrame([(1, 10.0, 3.0), (2, 20.0, 3.0), (3, 30.0, 3.0), (4, None, 3.0)],
+                               "id int, a double, c double")
+    out = {r.id: r.idx for r in IDX.composite_index(df, {"a": 0.5, "c": 0.5}, name="idx").collect()}
+    assert out == {1: 0.0, 2: 0.25, 3: 0.5, 4: None}  # constant channel contributes 0; NULL nulls the index
+    norm = {r.id: r.norm_c for r in R.minmax_normalise(df, {"c": True}).collect()}
+    assert set(norm.values()) == {0.5}
+
+    dups = spark.createDataFrame([("x", 1, None), ("x", 1, None), ("x", 1, 2.0), ("y", 2, 1.0)],
+                                 "e string, d int, v double")
+    assert CL.remove_exact_duplicates(dups).count() == 3  # NULL equals NULL for exact duplicates
+    assert CL.duplicate_count(dups).first().duplicate_rows == 1
