@@ -21,7 +21,7 @@ from panelforge.operators import clean as CL  # noqa: E402
 from panelforge.operators import scale as SC  # noqa: E402
 from panelforge.operators import split as SP  # noqa: E402
 from panelforge.plans import catalog  # noqa: E402
-from panelforge.plans.prepare import LI_OPTS, feature_panel  # noqa: E402
+from panelforge.plans.prepare import LI_OPTS, feature_panel, prepare  # noqa: E402
 from panelforge.session import build_session, checkpoint_dir  # noqa: E402
 from panelforge.sources.tables import li_panel  # noqa: E402
 from panelforge.spec import LI_CUTOFFS, LI_PANEL  # noqa: E402
@@ -60,6 +60,8 @@ def main() -> None:
         "features": features,
         "split_scale": split_scale,
         "knn_impute": lambda: q["knn_impute"](spark, SF_DIR),
+        "prepare_pipeline": lambda: prepare(li_panel(spark, SF_DIR), LI_PANEL, LI_CUTOFFS, LI_OPTS,
+                                            impute="ffill").data,
         "raw_lineitem_windows": lambda: q["raw_lineitem_windows"](spark, SF_DIR),
         "feature_block": lambda: q["feature_block"](spark, SF_DIR),
         "profile_distribution": lambda: q["distribution"](spark, SF_DIR),
