@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotrain, decontam, html_extract, langid, packing, pii, quality_rules, toxicity
+from . import cotrain, decontam, html_extract, langid, ngram_join, packing, pii, quality_rules, toxicity
 from .common import crc_mod, table
 
 
@@ -38,6 +38,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "p_text", "p_meta", "quality", "kept")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality_rules.apply_rules(docs)
@@ -78,6 +82,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_language": op3_language,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_ngram_join": op5_ngram_join,
     "op6_quality_rules": op6_quality_rules,
     "op7_pii": op7_pii,
     "op8_decontamination": op8_decontamination,
