@@ -23,15 +23,23 @@ from panelforge.session import checkpoint_dir, cut_lineage
 ROWS = 512
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``.
 
-    A fallback folder is made only on a one-machine master (tests); on a
-    cluster a missing setting is an error.
+    One is made only on a one-machine master (tests); on a cluster a missing
+    setting is an error.
     """
-    spark = df.sparkSession
     if checkpoint_dir(spark) is None and spark.sparkContext.master.startswith("local["):
         checkpoint_dir(spark, tempfile.mkdtemp(prefix="panelforge-ckpt-"))
+    folder = checkpoint_dir(spark)
+    if folder is None:
+        raise RuntimeError("spark.checkpoint.dir is not set")
+    return folder
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder: lineage ends there and survives lost executors."""
+    shared_folder(df.sparkSession)
     return cut_lineage(df)
 
 

@@ -9,10 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotrain, decontam, html_extract, langid, ngram_join, packing, pii, quality_rules, toxicity
+from . import cotrain, decontam, html_extract, langid, line_dedup, ngram_join, packing, pii, quality_rules, toxicity
 from .common import crc_mod, table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("n_lines").cast("bigint").alias("n_lines"), F.col("n_deleted").cast("bigint").alias("n_deleted"), F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("n_chars"), "text")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     learn = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0)
@@ -79,6 +84,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_language": op3_language,
     "op4_quality_classifier": op4_quality_classifier,
