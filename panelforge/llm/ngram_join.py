@@ -11,13 +11,16 @@ README has figures). So the points are first dealt to leaves of their own: a
 pair over the threshold shares a shingle among the first
 ``size - ceil(threshold * size) + 1`` of each of its sets in any common order,
 and the order puts frequent shingles (by a bounded sample) last. Documents
-that share such a shingle form a bucket; each bucket that still holds more
+that share such a shingle form a bucket (equal buckets are one); each that still holds more
 than one component gets an R-tree, packed by size and then by the counts, and
 every member searches it. Survivors are verified on their whole sets.
 
-Before that, each member of a bucket is tried against the bucket's least
-member only, which joins most copies at the cost of one pair each, so that a
-large group of copies is never expanded to all its pairs. Large buckets are
+Before that, each member of a bucket is tried against the bucket's hub only
+(the member that shares most of its first shingles), which joins most copies
+at the cost of one pair each, so that a large group of copies is never
+expanded to all its pairs. A second bound tells most other pairs apart: per
+each of ``FINE`` finer groups a point also has its count's parity, and groups
+of unlike parity differ by a shingle at least. Large buckets are
 split by size class (a linked pair is in the same or the next class), then
 into blocks of at most about ``BLOCK`` members. Equal sets are one node.
 
@@ -40,7 +43,10 @@ from pyspark.sql import functions as F
 from .common import cut, map_rows
 from .graph import components
 
-GROUPS, FANOUT, BLOCK = 128, 16, 2048
+GROUPS, FINE, FANOUT, BLOCK = 64, 2048, 16, 2048
+#: Groups up to this many members are bounded pair by pair; a tree would be one leaf or two.
+LEAF = 48
+_WIDTH = GROUPS + FINE // 8
 #: Texts looked at for the order of shingles, and in how many of them a frequent shingle is found; the results do not depend on either.
 SAMPLE, FREQUENT, TABLE = 8000, 3, 22
 #: Ids up to this many bytes are broadcast; beyond it the texts are shuffled.
@@ -99,8 +105,21 @@ def _node(x: np.ndarray) -> int:
 
 
 def _point(x: np.ndarray) -> bytes:
-    """Counts per group, 255 for that many or more."""
-    return np.minimum(np.bincount((x >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS), 255).astype(np.uint8).tobytes()
+    """Counts per group, 255 for that many or more; then, per each of ``FINE`` finer groups, whether its count is odd."""
+    fine = np.bincount((x >> np.uint64(40)).astype(np.int64) % FINE, minlength=FINE)
+    return np.minimum(fine.reshape(GROUPS, -1).sum(axis=1), 255).astype(np.uint8).tobytes() + np.packbits(fine & 1).tobytes()
+
+
+def _points(column) -> tuple[np.ndarray, np.ndarray]:
+    """Counts (rows x GROUPS) and odd bits (rows x 64-bit words) of a binary column."""
+    x = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, _WIDTH)
+    return x[:, :GROUPS], np.ascontiguousarray(x[:, GROUPS:]).view(np.uint64)
+
+
+def may_link(sizes: np.ndarray, odd_a: np.ndarray, odd_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether pairs of total size ``sizes`` may link: a group whose parity differs holds a shingle that only one set has."""
+    apart = np.bitwise_count(odd_a ^ odd_b).sum(axis=-1, dtype=np.int64)
+    return (100 + percent) * (sizes - apart) >= 2 * percent * sizes
 
 
 def most_shared(points: np.ndarray, point: np.ndarray) -> np.ndarray:
@@ -172,9 +191,9 @@ def _passing(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         for x in batches:
             if not x.num_rows:
                 continue
-            p, q = (np.frombuffer(b"".join(x.column(c).to_pylist()), dtype=np.uint8).reshape(-1, GROUPS) for c in ("pa", "pb"))
+            (p, odd_p), (q, odd_q) = (_points(x.column(c)) for c in ("pa", "pb"))
             size = x.column("na").to_numpy() + x.column("nb").to_numpy()
-            keep = (100 + percent) * most_shared(p, q) >= percent * size
+            keep = ((100 + percent) * most_shared(p, q) >= percent * size) & may_link(size, odd_p, odd_q, percent)
             yield x.filter(pa.array(keep)).select(["a", "b", "na", "nb", "ta", "tb"])
 
     return rows.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, ta bigint, tb bigint")
@@ -209,31 +228,38 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percen
 def _bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that survive the R-tree search of their bucket.
 
-    ``rows``: tok, node, comp, n, point, c (bucket size). A row goes to the
-    group of its size class and that of the class below, and if the bucket is
-    large to the groups of its block with every block.
+    ``rows``: tok, node, comp, n, point, c (bucket size). A bucket of up to
+    ``BLOCK`` members is one group. In a larger one a row goes to the group of
+    its size class and that of the class below, in its block with every block.
     """
     base = float(np.log(100 / (percent - 1)))  # a little more than a linked pair's ratio
-    rows = rows.withColumns({"cls": F.floor(F.log("n") / base), "nb": F.ceil(F.col("c") / BLOCK).cast("int")})
+    large = F.col("c") > BLOCK
+    rows = rows.withColumns({"cls": F.when(large, F.floor(F.log("n") / base)).otherwise(0), "nb": F.ceil(F.col("c") / BLOCK).cast("int")})
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb").cast("bigint")).cast("int"))
-    rows = rows.withColumn("g", F.explode(F.array("cls", F.col("cls") - 1))).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    rows = rows.withColumn("g", F.explode(F.when(large, F.array("cls", F.col("cls") - 1)).otherwise(F.array("cls")))).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     rows = rows.select("tok", "g", F.least("own", "x").alias("b1"), F.greatest("own", "x").alias("b2"), "own", (F.col("cls") == F.col("g")).alias("home"), "node", "comp", "n", "point")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "tok", "g", "b1", "b2").sortWithinPartitions("tok", "g", "b1", "b2")
 
     def pairs_of(g: dict) -> list[tuple[int, int]]:
-        home = g["home"]
-        if len(home) < 2 and home.all() or not home.any() or (g["comp"] == g["comp"][0]).all():
+        home = np.flatnonzero(g["home"])
+        if not len(home) or (g["comp"] == g["comp"][0]).all():
             return []
-        tree = RTree(g["n"][home], g["point"][home])
-        inside = np.flatnonzero(home)
-        out = []
-        split = g["b1"][0] != g["b2"][0]
-        for i in range(len(home)):
-            for j in inside[tree.search(int(g["n"][i]), g["point"][i], percent)]:
-                if g["comp"][i] != g["comp"][j] and not (split and g["own"][i] == g["own"][j]):
-                    out.append((min(g["node"][i], g["node"][j]), max(g["node"][i], g["node"][j])))
-        return out
+        if len(g["n"]) <= LEAF:
+            x = g["n"][home]
+            near = (100 * x >= percent * g["n"][:, None]) & (100 * g["n"][:, None] >= percent * x)
+            near &= (100 + percent) * most_shared(g["point"][home], g["point"][:, None]) >= percent * (x + g["n"][:, None])
+            left, right = np.nonzero(near)
+            right = home[right]
+        else:
+            tree = RTree(g["n"][home], g["point"][home])
+            found = [home[tree.search(int(n), point, percent)] for n, point in zip(g["n"], g["point"], strict=True)]
+            left, right = np.repeat(np.arange(len(found)), [len(x) for x in found]), np.concatenate(found)
+        keep = (g["comp"][left] != g["comp"][right]) & (g["own"][left] != g["own"][right] if g["b1"][0] != g["b2"][0] else True)
+        left, right = left[keep], right[keep]
+        keep = may_link(g["n"][left] + g["n"][right], g["odd"][left], g["odd"][right], percent)
+        a, b = g["node"][left[keep]], g["node"][right[keep]]
+        return list(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
 
     names = ["tok", "g", "b1", "b2", "own", "home", "node", "comp", "n"]
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -245,7 +271,7 @@ def _bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
         def groups(x: pa.Table, final: bool):
             """Ends of whole groups in ``x``; the last group waits for its other rows unless ``final``."""
             cols = {k: x.column(k).to_numpy() for k in names}
-            cols["point"] = np.frombuffer(b"".join(x.column("point").to_pylist()), dtype=np.uint8).reshape(-1, GROUPS)
+            cols["point"], cols["odd"] = _points(x.column("point"))
             change = np.zeros(len(cols["tok"]), dtype=bool)
             change[0] = True
             for k in names[:4]:
@@ -254,7 +280,6 @@ def _bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
             for s, e in zip(at[: -1 if final else -2], at[1:], strict=False):
                 if e - s > 1:
                     for p in pairs_of({k: v[s:e] for k, v in cols.items()}):
-                        p = (int(p[0]), int(p[1]))
                         if p not in seen:
                             seen.add(p)
                             yield p
@@ -295,11 +320,17 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str
 
     id_type = docs.schema["d"].dataType.simpleString()
     held = cut(map_rows(docs.select("d", "t", "h"), f"d {id_type}, t bigint, n bigint, node bigint, first array<bigint>, point binary", work))
-    nodes = cut(held.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point"), F.min("t").alias("t"), F.min("d").alias("d")))
+    nodes = cut(held.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first(F.size("first")).alias("k"), F.first("point").alias("point"), F.min("t").alias("t"), F.min("d").alias("d")))
     found = held.where("node is not null").select(F.explode("first").alias("tok"), "node")
-    buckets = found.groupBy("tok").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("tok", "a")
-    members = cut(found.join(buckets, "tok").distinct())
-    star = members.where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    # shingles of one passage have the same members: of buckets alike by size and hash sums one is kept, with how many it stands for
+    part = F.xxhash64("node")
+    shared = found.groupBy("tok").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count("*").alias("c"), F.sum(F.shiftrightunsigned(part, 32)).alias("u"), F.sum(part.bitwiseAND(F.lit((1 << 32) - 1))).alias("v")).where("a <> z")
+    shared = shared.groupBy("a", "z", "c", "u", "v").agg(F.min("tok").alias("tok"), F.count("*").alias("w")).select("tok", "w")
+    members = cut(found.join(shared, "tok").distinct())
+    # a bucket's hub is the member that shares most of its first shingles: copies differ from each other more than from their model
+    central = members.groupBy("node").agg(F.sum("w").alias("s")).join(nodes.select("node", "k"), "node").select("node", (F.col("s") * 1000000 / F.col("k")).cast("bigint").alias("s"))
+    hubs = members.join(central, "node").groupBy("tok").agg(F.max(F.struct("s", "node"))["node"].alias("a"))
+    star = members.join(hubs, "tok").where("a <> node").select("a", F.col("node").alias("b")).distinct()
     links = verified(star, nodes, docs, n, percent)
     comp = components(links)
     # buckets of two are done; of the others those with more than one component are searched
