@@ -26,7 +26,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_columns, cut
+from .common import append_columns, cut, fresh
 
 WINDOW = 10
 _KEEP = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
@@ -104,16 +104,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     blocks = max(1, -(-size // max_bytes))
     items = items.withColumn("b", F.pmod(F.xxhash64("t"), F.lit(blocks)))
     places = "array<struct<start:int,end:int>>"
-    out = docs.withColumns({"_s": F.expr(f"cast(array() as {places})"), "items": F.expr("cast(array() as array<string>)")})
+    own_name = fresh(docs, "_s")
+    out = docs.withColumns({own_name: F.expr(f"cast(array() as {places})"), "items": F.expr("cast(array() as array<string>)")})
     for block in range(blocks):
         own = sorted(((r["i"], r["t"]) for r in items.where(F.col("b") == block).collect()), key=lambda x: (x[0] or "", x[1]))
         shared = docs.sparkSession.sparkContext.broadcast(own)
         last = block == blocks - 1
-        out = append_columns(out, [text, "_s", "items"], f"n_words bigint, _s {places}, items array<string>, spans {places}", _work(shared, window, last and with_spans), drop if last else ())
+        out = append_columns(out, [text, own_name, "items"], f"n_words bigint, {own_name} {places}, items array<string>, spans {places}", _work(shared, window, last and with_spans), drop if last else ())
         out = out if last else cut(out)
-    hits = F.expr("aggregate(_s, 0L, (x, s) -> x + s.end - s.start)")
-    out = out.withColumns({"n_hit": hits, "contaminated": F.size("_s") > 0})
-    return out.drop("_s") if with_spans else out.drop("_s", "spans")
+    hits = F.expr(f"aggregate({own_name}, 0L, (x, s) -> x + s.end - s.start)")
+    out = out.withColumns({"n_hit": hits, "contaminated": F.size(own_name) > 0})
+    return out.drop(own_name) if with_spans else out.drop(own_name, "spans")
 
 
 def _work(shared, window: int, places: bool):

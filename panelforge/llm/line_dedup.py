@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_columns, cut, map_rows, running_total
+from .common import append_columns, cut, fresh, map_rows, running_total
 
 MIN_WORDS = 50
 _HERE = ["d", "h"]
@@ -129,13 +129,14 @@ def _without(text: bytes | None, places: list) -> tuple[str | None, int, int]:
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with later copies of repeated lines deleted from ``text``, plus n_lines and n_deleted."""
-    keyed = docs.withColumns({"_d": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(1 << 63))), "_h": F.xxhash64(text)})
-    slim = keyed.select(F.col("_d").alias("d"), F.col("_h").alias("h"), F.col(text).alias("t"))
-    places = repeated_places(slim, min_words).groupBy("d", "h").agg(F.collect_list(F.struct("i", "size")).alias("_p"))  # at most two a line of the document
-    joined = keyed.join(places.withColumnsRenamed({"d": "_d", "h": "_h"}), ["_d", "_h"], "left").drop("_d", "_h")
+    d, h, p = (fresh(docs, f"_{x}") for x in "dhp")
+    keyed = docs.withColumns({d: F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(1 << 63))), h: F.xxhash64(text)})
+    slim = keyed.select(F.col(d).alias("d"), F.col(h).alias("h"), F.col(text).alias("t"))
+    places = repeated_places(slim, min_words).groupBy("d", "h").agg(F.collect_list(F.struct("i", "size")).alias(p))  # at most two a line of the document
+    joined = keyed.join(places.withColumnsRenamed({"d": d, "h": h}), [d, h], "left").drop(d, h)
 
     def work():
         return lambda texts, places: [_without(*x) for x in zip(texts, places, strict=True)]
 
-    out = append_columns(joined, [text, "_p"], f"{text} string, n_lines int, n_deleted int", work, drop=("_p",))
-    return out.select(*[c for c in docs.columns if c not in ("n_lines", "n_deleted")], "n_lines", "n_deleted")
+    out = append_columns(joined, [text, p], f"{text} string, n_lines int, n_deleted int", work, drop=(p,))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_deleted")], "n_lines", "n_deleted")

@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 KINDS = ("email", "ip", "card", "phone", "iban")
 #: The base patterns, as the contract states them, in possessive form.
 PATTERN = {
@@ -95,9 +97,10 @@ def _spans(kind: str, found: Column) -> Column:
 def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` plus pii: the spans by kind (as in ``KINDS``), then start."""
     t = F.coalesce(F.col(text), F.lit(""))
-    found = docs.withColumns({f"_f_{k}": _found(t, k) for k in KINDS})
-    found = found.withColumns({f"_s_{k}": _spans(k, F.col(f"_f_{k}")) for k in KINDS})
-    return found.withColumn("pii", F.concat(*[F.col(f"_s_{k}") for k in KINDS])).drop(*[f"_{p}_{k}" for p in "fs" for k in KINDS])
+    name = {(p, k): fresh(docs, f"_{p}_{k}") for p in "fs" for k in KINDS}
+    found = docs.withColumns({name["f", k]: _found(t, k) for k in KINDS})
+    found = found.withColumns({name["s", k]: _spans(k, F.col(name["f", k])) for k in KINDS})
+    return found.withColumn("pii", F.concat(*[F.col(name["s", k]) for k in KINDS])).drop(*name.values())
 
 
 def mask(docs: DataFrame, text: str = "text", least: float = 0.0) -> DataFrame:
