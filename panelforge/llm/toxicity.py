@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from .common import append_columns, bounded
 
 FEATURES, SEGMENT = 1 << 17, 32
-PER_CLASS = 1500
-EPOCHS, BATCH, RATE, DECAY = 10, 100, 0.3, 1e-4
+PER_CLASS = 1200
+EPOCHS, BATCH, RATE, DECAY = 10, 64, 0.3, 1e-4
 #: A feature is a seed if it is in SEED_DOCS toxic documents at least, PURE of its documents are toxic, and chance would do that with probability exp(-BOUND).
 SEED_DOCS, PURE, BOUND = 4, 0.9, 14.0
 CACHE = 300_000
@@ -142,22 +142,18 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, start: float, pairs: np
     return out, (joint * valid[:, None, None, :]).sum(axis=(0, 3))
 
 
-def seeds_of(docs: list[set[int]], toxic: list[int]) -> set[int]:
-    """Features tied to toxic documents."""
-    hits, seen = Counter(), Counter()
+def seeds_of(docs: Iterable[np.ndarray], toxic: list[int]) -> np.ndarray:
+    """Features tied to toxic documents; ``docs`` gives each document's distinct features."""
+    hits, seen = np.zeros(FEATURES + 1), np.zeros(FEATURES + 1)
     for features, y in zip(docs, toxic, strict=True):
-        seen.update(features)
-        if y:
-            hits.update(features)
-    rate = sum(toxic) / max(1, len(toxic))
-    out = set()
-    for f, k in hits.items():
-        share = k / seen[f]
-        if k >= SEED_DOCS and share >= PURE:
-            split = share * np.log(share / rate) + ((1 - share) * np.log((1 - share) / (1 - rate)) if share < 1 else 0)
-            if seen[f] * split >= BOUND:
-                out.add(f)
-    return out
+        seen[features] += 1
+        hits[features] += y
+    seen[FEATURES] = hits[FEATURES] = 0  # the filler of shorter words
+    rate = min(max(sum(toxic) / max(1, len(toxic)), 1e-9), 1 - 1e-9)
+    share = hits / np.maximum(seen, 1)
+    rest = np.maximum(1 - share, 1e-12)
+    split = share * np.log(np.maximum(share, 1e-12) / rate) + rest * np.log(rest / (1 - rate))
+    return np.flatnonzero((hits >= SEED_DOCS) & (share >= PURE) & (seen * split >= BOUND))
 
 
 class _Corpus:
@@ -196,9 +192,8 @@ def _signature(words: list[bytes]) -> int:
 def train_crf(texts: list[list[bytes]], toxic: list[int], seed: int = 3) -> dict:
     corpus = _Corpus(texts)
     at = np.concatenate([[0], np.cumsum(corpus.lengths)])
-    per_doc = [set(corpus.own[np.unique(corpus.ids[a:b])].ravel().tolist()) - {FEATURES} for a, b in zip(at, at[1:], strict=False)]
-    seeds = seeds_of(per_doc, toxic)
-    marked = np.isin(corpus.own, list(seeds)).any(axis=1)
+    seeds = seeds_of((np.unique(corpus.own[np.unique(corpus.ids[a:b])]) for a, b in zip(at, at[1:], strict=False)), toxic)
+    marked = np.isin(corpus.own, seeds).any(axis=1)
     y = marked[corpus.ids] & np.repeat(np.array(toxic, dtype=bool), corpus.lengths)
     w = np.zeros(FEATURES + 1)
     rest = np.array([0.0, 0, 0, 0, 0])  # start, then pairs 00 01 10 11
@@ -301,7 +296,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     texts, toxic_of = [texts[i] for i in sorted(first.values())], [toxic_of[i] for i in sorted(first.values())]
     crf = train_crf(texts, toxic_of)
     tagger = Tagger(crf)
-    x = np.array([_summary(p) for at in range(0, len(texts), 512) for p in tagger.marginals(texts[at : at + 512])])
+    x = np.array([_summary(p) for at in range(0, len(texts), 128) for p in tagger.marginals(texts[at : at + 128])])
     y = np.array(toxic_of, dtype=float)
     weight = np.where(y > 0, counts[1] / y.sum(), counts[0] / (1 - y).sum())
     crf["w"] = crf["w"].astype(np.float32)
