@@ -60,8 +60,7 @@ def main() -> None:
         "features": features,
         "split_scale": split_scale,
         "knn_impute": lambda: q["knn_impute"](spark, SF_DIR),
-        "prepare_pipeline": lambda: prepare(li_panel(spark, SF_DIR), LI_PANEL, LI_CUTOFFS, LI_OPTS,
-                                            impute="ffill").data,
+        "prepare_pipeline": lambda: prepare(li_panel(spark, SF_DIR), LI_PANEL, LI_CUTOFFS, LI_OPTS).data,
         "raw_lineitem_windows": lambda: q["raw_lineitem_windows"](spark, SF_DIR),
         "feature_block": lambda: q["feature_block"](spark, SF_DIR),
         "profile_distribution": lambda: q["distribution"](spark, SF_DIR),

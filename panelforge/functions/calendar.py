@@ -34,14 +34,10 @@ def invalid_date_count(col: str, fmt: str = "yyyy-MM-dd") -> Column:
     return F.count_if(_c(col).isNotNull() & parse_date(col, fmt).isNull())
 
 
-def weekday0(col: str | Column) -> Column:
-    """FN-04: day of week with Monday = 0 ... Sunday = 6."""
-    c = _c(col) if isinstance(col, str) else col
-    return F.weekday(c)
-
-
-def calendar_columns(date_col: str, names=("Year", "Month", "Day", "DayOfWeek", "IsWeekend")) -> list[Column]:
+def calendar_columns(date_col: str, names=("Year", "Month", "DayOfMonth", "DayOfWeek", "IsWeekend")) -> list[Column]:
     """FN-03..05: year, month, day, weekday (Mon=0) and weekend flag (NULL date -> 0)."""
+    if isinstance(date_col, str) and date_col.lower() in {n.lower() for n in names}:
+        raise ValueError(f"a calendar column would clash with the date column {date_col!r} (names are case-insensitive)")
     d = _c(date_col)
     y, m, dd, dow, wk = names
     return [
@@ -78,7 +74,7 @@ def cyclical(col: str | Column, period: float) -> tuple[Column, Column]:
 
 def add_calendar(df: DataFrame, date_col: str, period: tuple[str, str] | None = (PERIOD_START, PERIOD_END),
                  season_map: dict[int, str] | None = None, period_name: str = "is_lockdown",
-                 names=("Year", "Month", "Day", "DayOfWeek", "IsWeekend"), season_name: str = "Season") -> DataFrame:
+                 names=("Year", "Month", "DayOfMonth", "DayOfWeek", "IsWeekend"), season_name: str = "Season") -> DataFrame:
     """The preprocessing block: calendar parts, season and period flag, all computed in one
     ``select`` from the date column (so new names never shadow it)."""
     cols = calendar_columns(date_col, names)

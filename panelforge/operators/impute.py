@@ -8,22 +8,13 @@ KNN imputation (IMP-01) follows the NaN-Euclidean k-nearest-neighbour rule:
   the value is the plain mean of the k nearest donors with a finite distance
   (ties broken by the donor key); no such donor -> the training mean of j.
 
-Exact, without comparing every receiver with every donor. For any column c
-present in both rows, ``|x_c - y_c| <= d(x, y)`` (because p/|S| >= 1). Rows are
-grouped by their presence pattern over the few widest-spread columns ("band
-columns"); for a receiver pattern and a donor pattern the band key c* is the
-widest band column present in both, else the widest column that is never NULL.
-So every donor with ``d <= r`` lies in the band ``|x_c* - y_c*| <= r``. Rounds of
-a band join -- an equi-join on (donor pattern, c*, floor(value / r)) with the
-receiver copied into the neighbouring buckets -- compute distances only inside
-the band; a cell is settled when at least k of its candidates have ``d <= r``
-(provably the k nearest); the rest go to the next round with a 4x wider band.
-Once the band is wider than every column's range all donors are in reach and
-the remaining cells settle. Work per receiver follows the donor density around
-it, not the size of any group. Each round's state is checkpointed.
-
-The pattern plan (receiver patterns x donor patterns) is small and broadcast;
-its size is checked against ``max_plan``.
+Exact: receivers stay in their partitions and meet the donors in blocks of at
+most ``DONOR_BYTES``, one broadcast block after another. Within a block the
+distances of a batch of receivers are computed column by column in numpy, and
+each missing cell keeps its k nearest donors only, so a block emits at most k
+rows per cell; with more than one block those are merged by (distance, donor
+key). Nothing is approximated and no donor is left out, however far.
+The donor table is cut in the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -31,8 +22,10 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -59,64 +52,22 @@ class KnnModel:
     key: list[str]
     cols: list[str]
     k: int
-    donors: DataFrame  # _dk struct, d0..d{p-1}, _dpat string
+    donors: DataFrame  # _dk struct, d0..d{p-1}
     means: dict[str, float | None]
-    spread: list[float]  # population std of each column on the donors
-    lo: list[float | None]
-    hi: list[float | None]
-    never_null: list[int]  # columns without NULLs among the donors
-    band_cols: list[int]  # columns whose presence defines the coarse patterns
     n_donors: int
 
     def transform(self, df: DataFrame) -> DataFrame:
         return knn_transform(self, df)
 
 
-def _pattern(cols: list[str], idx: list[int]) -> Column:
-    """Presence pattern over the band columns as a string of 0/1."""
-    if not idx:
-        return F.lit("")
-    return F.concat(*[F.when(qcol(cols[i]).isNotNull(), F.lit("1")).otherwise(F.lit("0")) for i in idx])
-
-
-def fit_knn(train: DataFrame, key: list[str], cols: list[str], k: int = 5, band_width: int = 3) -> KnnModel:
-    """IMP-01 fit: the donor table (checkpointed) and per-column training statistics."""
-    stats = [F.count(F.lit(1)).alias("_n")]
-    for i, c in enumerate(cols):
-        stats += [F.avg(qcol(c)).alias(f"m{i}"), F.stddev_pop(qcol(c)).alias(f"s{i}"),
-                  F.min(qcol(c)).alias(f"l{i}"), F.max(qcol(c)).alias(f"h{i}"),
-                  F.count_if(qcol(c).isNull()).alias(f"z{i}")]
-    row = train.agg(*stats).first()
-    p = len(cols)
-    spread = [row[f"s{i}"] or 0.0 for i in range(p)]
-    never = [i for i in range(p) if row[f"z{i}"] == 0]
-    by_spread = sorted(range(p), key=lambda i: (-spread[i], i))
-    band = [i for i in by_spread if i not in never][:band_width]
+def fit_knn(train: DataFrame, key: list[str], cols: list[str], k: int = 5) -> KnnModel:
+    """IMP-01 fit: the donor table (materialised) and the training means."""
+    row = train.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(qcol(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
     donors = materialize(train.select(
         F.struct(*[qcol(c) for c in key]).alias("_dk"),
         *[qcol(c).cast("double").alias(f"d{i}") for i, c in enumerate(cols)],
-        _pattern(cols, band).alias("_dpat"),
     ))
-    return KnnModel(
-        key, cols, k, donors,
-        means={c: row[f"m{i}"] for i, c in enumerate(cols)},
-        spread=spread,
-        lo=[row[f"l{i}"] for i in range(p)],
-        hi=[row[f"h{i}"] for i in range(p)],
-        never_null=never, band_cols=band, n_donors=row["_n"],
-    )
-
-
-def _distance(p: int) -> Column:
-    """NaN-Euclidean distance between receiver columns x{i} and donor columns d{i}, unrolled
-    into plain arithmetic (whole-stage codegen, no arrays)."""
-    both = [F.col(f"x{i}").isNotNull() & F.col(f"d{i}").isNotNull() for i in range(p)]
-    n = sum((b.cast("int") for b in both), F.lit(0))
-    total = F.lit(0.0)
-    for i, b in enumerate(both):
-        diff = F.col(f"x{i}") - F.col(f"d{i}")
-        total = total + F.when(b, diff * diff).otherwise(F.lit(0.0))
-    return F.when(n > 0, F.sqrt(F.lit(float(p)) / n * total))
+    return KnnModel(key, cols, k, donors, means={c: row[f"m{i}"] for i, c in enumerate(cols)}, n_donors=row["_n"])
 
 
 def knn_transform(model: KnnModel, df: DataFrame) -> DataFrame:
@@ -128,7 +79,6 @@ def knn_transform(model: KnnModel, df: DataFrame) -> DataFrame:
     recv = df.select(
         F.struct(*[qcol(c) for c in key]).alias("_rk"),
         *[qcol(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)],
-        _pattern(cols, model.band_cols).alias("_rpat"),
         F.filter(F.array(*[F.when(qcol(c).isNull(), F.lit(i)) for i, c in enumerate(cols)]),
                  lambda v: v.isNotNull()).alias("_miss"),
     ).where(F.size("_miss") > 0)
@@ -137,7 +87,7 @@ def knn_transform(model: KnnModel, df: DataFrame) -> DataFrame:
     if model.n_donors == 0 or recv.isEmpty():
         settled = spark.createDataFrame([], f"_rk {key_type}, _j int, _val double")
     else:
-        settled = _knn_rounds(model, recv)
+        settled = _knn_blocks(model, recv)
 
     # cells without any finite-distance donor -> training mean
     means = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(i), F.lit(model.means[c]).cast("double"))])
@@ -154,102 +104,83 @@ def knn_transform(model: KnnModel, df: DataFrame) -> DataFrame:
     }).drop("_rk", "_fill")
 
 
-def _plan(model: KnnModel, recv: DataFrame) -> DataFrame:
-    """(receiver pattern, donor pattern) -> band column: the widest band column present in
-    both, else the widest never-NULL column. At most 4^band_width rows."""
-    spark = recv.sparkSession
-    rpats = [r[0] for r in recv.select("_rpat").distinct().collect()]
-    dpats = [r[0] for r in model.donors.select("_dpat").distinct().collect()]
-    fallback = max(model.never_null, key=lambda i: (model.spread[i], -i)) if model.never_null else None
-    rows = []
-    for rp in rpats:
-        for dp in dpats:
-            shared = [model.band_cols[j] for j in range(len(rp)) if rp[j] == "1" and dp[j] == "1"]
-            c = shared[0] if shared else fallback
-            if c is None:
-                raise ValueError("KNN imputation: a pattern pair shares no bounded column; add a column "
-                                 "without NULLs (e.g. a calendar part)")
-            rows.append((rp, dp, c))
-    return spark.createDataFrame(rows, "_rpat string, _dpat string, _c int")
-
-
-def _knn_rounds(model: KnnModel, recv: DataFrame) -> DataFrame:
-    k, p = model.k, len(model.cols)
-    plan = F.broadcast(_plan(model, recv))  # bounded by 4^band_width rows
-    dcols = [f"d{i}" for i in range(p)]
-    donors = materialize(
-        model.donors.join(plan.select("_dpat", "_c").distinct(), "_dpat")
-        .withColumn("_dz", F.element_at(F.array(*dcols), F.col("_c") + 1))
-    )
-    rr = recv.agg(*[x for i in range(p) for x in (F.min(f"x{i}"), F.max(f"x{i}"))]).first()
-    span = 0.0
-    for i in range(p):
-        los = [v for v in (model.lo[i], rr[2 * i]) if v is not None]
-        his = [v for v in (model.hi[i], rr[2 * i + 1]) if v is not None]
-        if los and his:
-            span = max(span, max(his) - min(los))
-    # first radius: typical k-NN distance guess from the columns' spread; exactness does not
-    # depend on it, only the number of rounds does
-    # random-pair distance scale and the effective dimension of the spread (participation
-    # ratio of the column variances): k-NN distances shrink like (k/N)^(1/D_eff)
-    var = [s * s for s in model.spread]
-    rand_d = (2.0 * sum(var)) ** 0.5
-    d_eff = max((sum(var) ** 2) / max(sum(v * v for v in var), 1e-300), 1.0)
-    r = max(0.25 * rand_d * (k / max(model.n_donors, 1)) ** (1.0 / d_eff), 1e-9)
-
-    parallel = max(recv.sparkSession.sparkContext.defaultParallelism, 1)
-    parts = []
-    pending = recv
-    n_pending = pending.count()
-    while True:
-        # once a band this wide reaches (nearly) every donor, settle everything in one round
-        final = r * 4.0 >= span
-        got = _settle(pending, donors, plan, k, p, r, final, salted=final or r * 8.0 * parallel >= span)
-        if final:
-            parts.append(got)
-            break
-        got = materialize(got)
-        parts.append(got)
-        done = got.groupBy("_rk").agg(F.collect_list("_j").alias("_done"))
-        left = (pending.join(done, "_rk", "left")
-                .withColumn("_miss", F.array_except("_miss", F.coalesce("_done", F.array().cast("array<int>"))))
-                .drop("_done").where(F.size("_miss") > 0))
-        pending = materialize(left)
-        n_left = pending.count()
-        if n_left == 0:
-            break
-        r *= 4.0 if n_left < n_pending / 2 else 16.0
-        n_pending = n_left
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+#: Bytes of donor rows in one block (the side that is broadcast), and distances computed at a time.
+DONOR_BYTES, DISTANCES = 64 << 20, 400_000
 
 
-def _settle(recv: DataFrame, donors: DataFrame, plan: DataFrame, k: int, p: int, r: float,
-            final: bool, salted: bool = True) -> DataFrame:
-    """One band round -> settled cells (_rk, _j, _val). ``salted`` spreads wide buckets."""
-    xcols = [f"x{i}" for i in range(p)]
-    salts = max(recv.sparkSession.sparkContext.defaultParallelism, 1) if salted else 1
-    rx = recv.join(plan, "_rpat").withColumn("_z", F.element_at(F.array(*xcols), F.col("_c") + 1))
-    rb = rx.withColumn("_b", F.explode(F.array(*[F.floor(F.col("_z") / r) + d for d in (-1, 0, 1)])))
-    # a wide band puts many donors into one bucket: spread each bucket's donors over
-    # `salts` sub-buckets and copy receivers to each, so no task holds a whole bucket
-    rb = rb.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    db = donors.withColumn("_b", F.floor(F.col("_dz") / r)).withColumn(
-        "_s", F.pmod(F.xxhash64("_dk"), F.lit(salts)).cast("int"))
-    pairs = rb.join(db, ["_dpat", "_c", "_b", "_s"]).where(F.abs(F.col("_z") - F.col("_dz")) <= r)
-    cand = pairs.select("_rk", "_dk", "_miss", *[f"d{i}" for i in range(p)], _distance(p).alias("_d"))
-    cand = cand.where(F.col("_d").isNotNull() if final else F.col("_d") <= r)
-    cells = cand.select(
-        "_rk", "_dk", "_d", F.explode("_miss").alias("_j"), F.array(*[f"d{i}" for i in range(p)]).alias("_dv")
-    ).select("_rk", "_dk", "_d", "_j", F.col("_dv")[F.col("_j")].alias("_y")).where(F.col("_y").isNotNull())
-    w = Window.partitionBy("_rk", "_j").orderBy("_d", "_dk")
-    ranked = cells.select("_rk", "_j", "_y", F.row_number().over(w).alias("_rn"),
-                          F.count(F.lit(1)).over(Window.partitionBy("_rk", "_j")).alias("_cnt"))
-    if not final:
-        ranked = ranked.where(F.col("_cnt") >= k)
-    return ranked.where(F.col("_rn") <= k).groupBy("_rk", "_j").agg(F.avg("_y").alias("_val"))
+def _nearest(x: np.ndarray, y: np.ndarray, missing: list[list[int]], k: int):
+    """Per (receiver, missing column): (receiver, column, distance, donor) of the k nearest donors that have the column.
+
+    Donors come in key order, which breaks ties.
+    """
+    p = x.shape[1]
+    have_x, have_y = ~np.isnan(x), ~np.isnan(y)
+    x0, y_by = np.where(have_x, x, 0.0), np.ascontiguousarray(np.where(have_y, y, 0.0).T)
+    total, shared = np.zeros((len(x), len(y))), have_x.astype(float) @ have_y.T.astype(float)
+    d = np.empty_like(total)
+    whole_x, whole_y = have_x.all(axis=0), have_y.all(axis=0)
+    for i in range(p):
+        np.subtract(x0[:, i, None], y_by[i], out=d)
+        if not whole_x[i]:
+            d *= have_x[:, i, None]
+        if not whole_y[i]:
+            d *= have_y[None, :, i]
+        d *= d
+        total += d
+    with np.errstate(divide="ignore", invalid="ignore"):
+        dist = np.where(shared > 0, np.sqrt(p / shared * total), np.inf)
+    donors_of = {j: np.flatnonzero(have_y[:, j]) for j in {j for m in missing for j in m}}
+    for r, columns in enumerate(missing):
+        found: dict[bytes, tuple] = {}
+        for j in columns:
+            own = donors_of[j]
+            if not len(own):
+                continue
+            mark = own.tobytes() if len(columns) > 1 else b""
+            if mark not in found:  # columns that the same donors have share their neighbours
+                d = dist[r, own]
+                bound = np.partition(d, k - 1)[k - 1] if len(d) > k else np.inf
+                near = np.flatnonzero((d <= bound) & np.isfinite(d))
+                near = near[np.argsort(d[near], kind="stable")][:k]
+                found[mark] = (d[near], own[near])
+            for d, o in zip(*found[mark], strict=True):
+                yield r, j, d, o
+
+
+def _knn_blocks(model: KnnModel, recv: DataFrame) -> DataFrame:
+    """Settled cells (_rk, _j, _val) of all receivers."""
+    spark, k, p = recv.sparkSession, model.k, len(model.cols)
+    rows = max(1, DONOR_BYTES // (8 * (p + 4)))
+    blocks = max(1, -(-model.n_donors // rows))
+    key_type, donor_type = (df.schema[c].dataType.simpleString() for df, c in ((recv, "_rk"), (model.donors, "_dk")))
+    found = None
+    for block in range(blocks):
+        own = model.donors.where(F.pmod(F.xxhash64("_dk"), F.lit(blocks)) == block).orderBy("_dk").select("_dk", *[f"d{i}" for i in range(p)]).toArrow()
+        shared = spark.sparkContext.broadcast(own)
+
+        def run(batches, shared=shared):
+            donors = shared.value
+            keys = donors.column("_dk").combine_chunks()
+            y = np.column_stack([donors.column(f"d{i}").to_numpy() for i in range(p)]) if donors.num_rows else np.empty((0, p))
+            step = max(1, DISTANCES // max(1, len(y)))
+            for whole in batches:
+                for at in range(0, whole.num_rows, step):
+                    b = whole.slice(at, step)
+                    x = np.column_stack([b.column(f"x{i}").to_numpy(zero_copy_only=False) for i in range(p)])
+                    got = list(_nearest(x, y, b.column("_miss").to_pylist(), k))
+                    if got:
+                        r, j, d, o = zip(*got, strict=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [b.column("_rk").take(pa.array(r)), pa.array(j, pa.int32()), pa.array(d, pa.float64()), keys.take(pa.array(o)), pa.array(y[list(o), list(j)], pa.float64())],
+                            names=["_rk", "_j", "_d", "_dk", "_y"])
+
+        part = recv.select("_rk", *[f"x{i}" for i in range(p)], "_miss").mapInArrow(run, f"_rk {key_type}, _j int, _d double, _dk {donor_type}, _y double")
+        part = materialize(part) if blocks > 1 else part
+        found = part if found is None else found.unionByName(part)
+    if blocks > 1:
+        w = Window.partitionBy("_rk", "_j").orderBy("_d", "_dk")
+        found = found.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+    return found.groupBy("_rk", "_j").agg(F.avg("_y").alias("_val"))
 
 
 # ---------------------------------------------------------------------------
@@ -283,7 +214,7 @@ def ffill_bfill(df: DataFrame, entity: str, order_cols: list[str], cols: list[st
         *[F.first(f"_f{i}", ignorenulls=True).over(we.rowsBetween(1, Window.unboundedFollowing)).alias(f"_out{i}")
           for i in range(len(cols))],
     )
-    joined = base.join(carry, (qcol(entity) == F.col("_e")) & (F.col("_chunk") == F.col("_c")), "left")
+    joined = base.join(carry, qcol(entity).eqNullSafe(F.col("_e")) & F.col("_chunk").eqNullSafe(F.col("_c")), "left")
     w = Window.partitionBy(*part).orderBy(*order)
     fwd = w.rowsBetween(Window.unboundedPreceding, 0)
     bwd = w.rowsBetween(0, Window.unboundedFollowing)

@@ -1,32 +1,18 @@
-"""Join helpers: size-checked broadcast, dimension lookups (JOIN-02/03/10)."""
+"""Join helpers: joins with small sides, dimension lookups (JOIN-02/03/10)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its row count is checked to be at most this.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
     """Equi-join ``big`` with a side expected to be small.
 
-    The small side is counted first; it is broadcast only when the count is
-    within ``max_rows``. Beyond that the join is left to a shuffle join, where
-    AQE's skew-join handling splits hot keys.
+    No hint and no count: Spark broadcasts a side that its own size bound
+    (``spark.sql.autoBroadcastJoinThreshold``, checked by AQE at run time)
+    allows, and otherwise shuffles, with AQE's skew-join handling of hot keys.
     """
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on, how)
-
-
-def literal_lookup(key: Column, mapping: dict, default=None) -> Column:
-    """Fixed small dimension as a literal map (no join at all)."""
-    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
-    out = F.try_element_at(m, key)
-    return F.coalesce(out, F.lit(default)) if default is not None else out
+    return big.join(small, on, how)
 
 
 def complete_entities(expected: DataFrame, facts: DataFrame, key: str, defaults: dict | None = None) -> DataFrame:

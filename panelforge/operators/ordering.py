@@ -33,17 +33,22 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank", group: l
     group = group or []
     n = partitions or max(df.sparkSession.sparkContext.defaultParallelism, 1)
     keys = [F.col(g).asc() for g in group] + list(order)
-    ranged = df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
-    ranged = materialize(ranged)  # fixes the sampled range bounds for the two uses below
-    counts = ranged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_pn"))
+    # one range sort; written sorted, so a row's place in its range is its place in the file
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    place = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    ranged = materialize(place)
+    counts = ranged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_pn"), F.min("_at").alias("_first"))
     wo = Window.partitionBy(*group).orderBy("_pid") if group else Window.orderBy("_pid")
     offs = counts.select(
         "_pid", *group,
-        F.coalesce(F.sum("_pn").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        (F.coalesce(F.sum("_pn").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("_first")).alias("_off"),
     )
-    within = F.row_number().over(Window.partitionBy("_pid", *group).orderBy(*order))
-    out = ranged.join(offs, ["_pid", *group]).withColumn(name, (F.col("_off") + within).cast("int"))
-    return out.drop("_pid", "_off")
+    same = F.lit(True)
+    offs = offs.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(group)}).withColumnRenamed("_pid", "_p2")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    out = ranged.join(offs, (F.col("_pid") == F.col("_p2")) & same).withColumn(name, F.col("_off") + F.col("_at") + 1)
+    return out.drop("_pid", "_p2", "_off", "_at", *[f"_g{i}" for i in range(len(group))])
 
 
 def group_rank(df: DataFrame, group: list[str], block: Column, order: list[Column], name: str = "rank") -> DataFrame:
@@ -56,7 +61,7 @@ def group_rank(df: DataFrame, group: list[str], block: Column, order: list[Colum
         "_off", F.coalesce(F.sum("_bn").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).drop("_bn")
     within = F.row_number().over(Window.partitionBy(*group, "_blk").orderBy(*order))
-    return base.join(offs, [*group, "_blk"]).withColumn(name, (F.col("_off") + within).cast("int")).drop(
+    return base.join(offs, [*group, "_blk"]).withColumn(name, (F.col("_off") + within).cast("bigint")).drop(
         "_blk", "_off")
 
 

@@ -107,7 +107,10 @@ def prepare(panel: DataFrame, spec: PanelSpec, cutoffs: tuple[str, str, str], op
     else:
         knn = None
         means = train.agg(*[F.avg(F.col(f"`{c}`")).alias(c) for c in imp_cols]).first()
-        filled = I.ffill_bfill(split, spec.entity, spec.order_cols, imp_cols, opts.chunk_days or 90)
+        # each split on its own: no value of a later split reaches an earlier one
+        parts = [I.ffill_bfill(split.where(F.col("split") == name), spec.entity, spec.order_cols, imp_cols, opts.chunk_days or 90)
+                 for name in SP.SPLITS]
+        filled = parts[0].unionByName(parts[1]).unionByName(parts[2])
         imputed = I.materialize(filled.fillna({c: means[c] for c in imp_cols if means[c] is not None}))
     scale_cols = [c for c in imp_cols if c not in set(no_scale)]  # PRJ-04
     params = SC.fit_scaler(imputed.where("split = 'train'"), scale_cols)  # SCL-01

@@ -16,7 +16,7 @@ from .registry import query, round_doubles
 
 _CAL_SQL = LI + """
 SELECT entity, day, CAST(year(day) AS INTEGER) AS Year, CAST(month(day) AS INTEGER) AS Month,
-  CAST(day(day) AS INTEGER) AS Day, CAST(isodow(day) - 1 AS INTEGER) AS DayOfWeek,
+  CAST(day(day) AS INTEGER) AS DayOfMonth, CAST(isodow(day) - 1 AS INTEGER) AS DayOfWeek,
   CAST(isodow(day) >= 6 AS INTEGER) AS IsWeekend
 FROM p
 """

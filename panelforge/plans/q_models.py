@@ -15,8 +15,7 @@ from .serve import ServingArtefacts, score_requests
 
 
 def _prepared(spark, sf):
-    # policy-filled model-ready table; the KNN-imputed variant is prepared_li(spark, sf, "knn")
-    return prepared_li(spark, sf, impute="ffill")
+    return prepared_li(spark, sf, impute="knn")
 
 
 def _registry():

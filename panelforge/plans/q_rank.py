@@ -95,7 +95,7 @@ WITH {_REC}, b AS (SELECT min(revenue) AS l1, max(revenue) AS h1, min(avg_qty) A
 s AS (SELECT s_suppkey, round(0.5 * CASE WHEN revenue IS NULL THEN NULL WHEN h1 = l1 THEN 0.5 ELSE (revenue - l1) / (h1 - l1) END
   + 0.2 * CASE WHEN avg_qty IS NULL THEN NULL WHEN h2 = l2 THEN 0.5 ELSE (h2 - avg_qty) / (h2 - l2) END
   + 0.3 * CASE WHEN rmse IS NULL THEN NULL WHEN h3 = l3 THEN 0.5 ELSE (h3 - rmse) / (h3 - l3) END, 6) AS score FROM rec, b)
-SELECT s_suppkey, score, CAST(row_number() OVER (ORDER BY score DESC NULLS LAST, s_suppkey) AS INTEGER) AS rank FROM s
+SELECT s_suppkey, score, CAST(row_number() OVER (ORDER BY score DESC NULLS LAST, s_suppkey) AS BIGINT) AS rank FROM s
 """
 
 
@@ -142,7 +142,7 @@ lb AS (SELECT *,
     CASE WHEN validation_r2 < 0.7 THEN 'Weak Validation Performance' END,
     CASE WHEN gap > 0.1 THEN 'High Generalisation Gap' END, CASE WHEN rmse > 50 THEN 'Large Error' END), ''), 'None')
     AS risk_flags,
-  CAST(row_number() OVER (ORDER BY engineering_score DESC NULLS LAST, model) AS INTEGER) AS rank FROM s)
+  CAST(row_number() OVER (ORDER BY engineering_score DESC NULLS LAST, model) AS BIGINT) AS rank FROM s)
 """
 
 
@@ -203,7 +203,7 @@ c AS (SELECT *, round(sum(importance_pct) OVER (PARTITION BY c_nationkey ORDER B
 
 
 @query("importance_share", _REV_CTE + """
-SELECT c_nationkey, c_name, round(revenue, 6) AS revenue, CAST(rank AS INTEGER) AS rank, importance_pct, cumulative_pct
+SELECT c_nationkey, c_name, round(revenue, 6) AS revenue, CAST(rank AS BIGINT) AS rank, importance_pct, cumulative_pct
 FROM c""")
 def importance_share(spark, sf):
     """WIN-07/08: customers' share of their nation's revenue, rank, cumulative share."""
@@ -227,7 +227,7 @@ WITH r AS (SELECT p_name || ' ' || p_type || ' #' || CAST(p_partkey AS VARCHAR)
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1),
 s AS (SELECT item, round(revenue / (SELECT sum(revenue) FROM r) * 100, 4) AS importance_pct,
   row_number() OVER (ORDER BY revenue DESC NULLS LAST, item) AS orig_rank FROM r)
-SELECT item, CAST(orig_rank AS INTEGER) AS orig_rank, CAST(row_number() OVER (ORDER BY orig_rank) AS INTEGER) AS rank,
+SELECT item, CAST(orig_rank AS BIGINT) AS orig_rank, CAST(row_number() OVER (ORDER BY orig_rank) AS BIGINT) AS rank,
   importance_pct FROM s
 WHERE contains(lower(item), 'bolt') OR contains(lower(item), 'gear') OR contains(lower(item), 'promo')
 """

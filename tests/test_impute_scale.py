@@ -97,3 +97,23 @@ def test_json_records_skip_malformed_and_default_key(spark, tmp_path):
     good, report = IO.read_permissive(spark, str(d / "OLS_metrics.json"), T.StructType(
         [T.StructField("model_name", T.StringType())]), fmt="json")
     assert report.first().corrupt_rows == 0 and good.count() == 1
+
+
+def test_knn_receivers_far_outside_and_donor_blocks(spark, monkeypatch):
+    """Donors b in 0..10, a = 2b; receivers far beyond them still get their true neighbours, also with many donor blocks."""
+    b = np.linspace(0, 10, 50)
+    train = np.column_stack([2 * b, b, np.zeros(50), np.full(50, np.nan), np.arange(50) % 5])
+    test = np.array([[np.nan, 200.0, 0, np.nan, 1], [np.nan, 150.0, 0, np.nan, 2], [np.nan, -90.0, 0, np.nan, 0]])
+    cols = ["c0", "c1", "c2", "c3", "cal"]
+    ref = brute_knn(train, test, 5)
+    for size in (I.DONOR_BYTES, 900):
+        monkeypatch.setattr(I, "DONOR_BYTES", size)
+        model = I.fit_knn(_frame(spark, train), ["e", "d"], cols, k=5)
+        got = model.transform(_frame(spark, test, offset=100)).orderBy("e").select(*cols).toPandas().to_numpy(dtype=float)
+        assert np.allclose(got[:, 0], ref[:, 0])
+
+
+def test_fill_keeps_null_entities(spark):
+    rows = [(None, D0, 1.0), (None, D0 + dt.timedelta(days=1), None), (1, D0, 2.0)]
+    got = I.ffill_bfill(spark.createDataFrame(rows, "e int, d date, v double"), "e", ["d"], ["v"]).collect()
+    assert sorted(r.v for r in got) == [1.0, 1.0, 2.0]
