@@ -79,22 +79,25 @@ def meta_view(text: bytes | None, lang: bytes | None, source: bytes | None, n_ch
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 150, decay: float = 1e-4) -> np.ndarray:
     """Weights and bias (last) by full-batch gradient steps with momentum on standardised columns."""
-    mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-3
-    z = (x - mean) / spread
+    mean = x.mean(axis=0, dtype=np.float64)
+    spread = np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x, dtype=np.float64) / len(x) - mean * mean, 0)) + 1e-3
+    z = x  # the caller's copy, standardised in place: the matrices are the driver's largest objects
+    z -= mean.astype(np.float32)
+    z /= spread.astype(np.float32)
     w, b, vw, vb = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0
     weight = weight / weight.sum()
-    rate = 4.0 / max(1.0, float((z * z).sum(axis=1).mean()))
+    rate = 4.0 / max(1.0, float(np.einsum("ij,ij->", z, z, dtype=np.float64)) / len(z))
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(z @ w + b, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(z @ w.astype(np.float32) + b, -30, 30)))
         e = weight * (p - y)
-        vw, vb = 0.9 * vw - rate * (z.T @ e + decay * w), 0.9 * vb - rate * e.sum()
+        vw, vb = 0.9 * vw - rate * (e.astype(np.float32) @ z + decay * w), 0.9 * vb - rate * e.sum()
         w, b = w + vw, b + vb
     w = w / spread
     return np.append(w, b - float(mean @ w)).astype(np.float64)
 
 
 def _odds(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return np.clip(x @ w[:-1] + w[-1], -30, 30)
+    return np.clip(x @ w[:-1].astype(x.dtype) + w[-1], -30, 30).astype(np.float64)
 
 
 def _balanced(y: np.ndarray) -> np.ndarray:
@@ -127,7 +130,9 @@ _VIEWS = "y int, c boolean, a binary, b binary"
 
 
 def _matrix(rows, column: str) -> np.ndarray:
-    return np.array([np.frombuffer(r[column], dtype="<f4") for r in rows]) if rows else np.zeros((0, 1), dtype=np.float32)
+    if not rows:
+        return np.zeros((0, SHAPES + 3 if column == "a" else 2 * CODES + 8), dtype=np.float32)
+    return np.array([np.frombuffer(r[column], dtype="<f4") for r in rows])
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", text: str = "text", lang: str = "lang", source: str = "source", n_chars: str = "n_chars", labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> dict | None:
@@ -147,19 +152,19 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "q
     def work():
         return lambda cols: [(y, bool(c), text_view(t).tobytes(), meta_view(t, lg, s, n).tobytes()) for y, c, t, lg, s, n in zip(*cols, strict=True)]
 
-    got = map_rows(chosen.select("_y", F.coalesce(crc_mod(key, 4) == 0, F.lit(False)).alias("c"), "t", "l", "s", "n"), _VIEWS, work).collect()
-    got = sorted(got, key=lambda r: (r["y"] is None, r["y"] or 0, bytes(r["a"]), bytes(r["b"])))
+    found = map_rows(chosen.select("_y", F.coalesce(crc_mod(key, 4) == 0, F.lit(False)).alias("c"), "t", "l", "s", "n"), _VIEWS, work)
+    got = sorted(found.collect(), key=lambda r: (r["y"] is None, r["y"] or 0, bytes(r["a"]), bytes(r["b"])))
     learn = [r for r in got if r["y"] is not None and not r["c"]]
     held = [r for r in got if r["y"] is not None and r["c"]]
     if len({r["y"] for r in learn}) < 2:
         return None
     held = held if len({r["y"] for r in held}) == 2 else learn
     rest = [r for r in got if r["y"] is None]
-    x, u = tuple(_matrix(learn, k) for k in "ab"), tuple(_matrix(rest, k) for k in "ab")
-    y = np.array([r["y"] for r in learn], dtype=float)
+    x, u, h = (tuple(_matrix(rows, k) for k in "ab") for rows in (learn, rest, held))
+    y, yh = (np.array([r["y"] for r in rows], dtype=float) for rows in (learn, held))
+    del got, learn, rest, held
     weights = cotrain(x, y, u)
-    z = np.column_stack([_odds(_matrix(held, k), w) for k, w in zip("ab", weights, strict=True)])
-    yh = np.array([r["y"] for r in held], dtype=float)
+    z = np.column_stack([_odds(m, w) for m, w in zip(h, weights, strict=True)])
     real = np.where(yh > 0.5, counts[1] / yh.sum(), counts[0] / (1 - yh).sum())  # the held rows count as often as their class occurs
     calibrated = [_platt(z[:, [v]], yh, real) for v in (0, 1)]
     both = np.column_stack([_odds(z[:, [v]], calibrated[v]) for v in (0, 1)])
