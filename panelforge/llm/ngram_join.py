@@ -20,7 +20,10 @@ Before that, each member of a bucket is tried against the bucket's hub only
 at the cost of one pair each, so that a large group of copies is never
 expanded to all its pairs. A second bound tells most other pairs apart: per
 each of ``FINE`` finer groups a point also has its count's parity, and groups
-of unlike parity differ by a shingle at least. Large buckets are
+of unlike parity differ by a shingle at least. Sets of more than ``FINE``
+shingles, whose parities in so few groups say nothing, have a second vector
+with as many groups as shingles; of two such the longer is folded to the
+shorter. Large buckets are
 split by size class (a linked pair is in the same or the next class), then
 into blocks of at most about ``BLOCK`` members. Equal sets are one node.
 
@@ -110,6 +113,22 @@ def _point(x: np.ndarray) -> bytes:
     return np.minimum(fine.reshape(GROUPS, -1).sum(axis=1), 255).astype(np.uint8).tobytes() + np.packbits(fine & 1).tobytes()
 
 
+def _wide(x: np.ndarray) -> bytes | None:
+    """Parities in a power of two of groups, as many as shingles or more, of a set of more than ``FINE``."""
+    if len(x) <= FINE:
+        return None
+    width = 1 << min(24, (len(x) - 1).bit_length())
+    return np.packbits(np.bincount((x >> np.uint64(40)).astype(np.int64) % width, minlength=width) & 1).tobytes()
+
+
+def wide_apart(a: bytes, b: bytes) -> int:
+    """Groups of unlike parity of two vectors of ``_wide``; the longer one is folded (parities of merged groups add up)."""
+    x, y = sorted((np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+
 def _points(column) -> tuple[np.ndarray, np.ndarray]:
     """Counts (rows x GROUPS) and odd bits (rows x 64-bit words) of a binary column."""
     x = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, _WIDTH)
@@ -183,9 +202,9 @@ def _first_shingles(x: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
 
 def _passing(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes and points allow a link, with sizes and text hashes of both."""
-    of = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("t").alias(f"t{c}"), F.col("point").alias(f"p{c}"))
+    of = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("t").alias(f"t{c}"), F.col("point").alias(f"p{c}"), F.col("wide").alias(f"w{c}"))
     rows = pairs.join(of("a"), "a").join(of("b"), "b").where((100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na")))
-    rows = rows.select("a", "b", "na", "nb", "ta", "tb", "pa", "pb")
+    rows = rows.select("a", "b", "na", "nb", "ta", "tb", "pa", "pb", "wa", "wb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -194,6 +213,10 @@ def _passing(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             (p, odd_p), (q, odd_q) = (_points(x.column(c)) for c in ("pa", "pb"))
             size = x.column("na").to_numpy() + x.column("nb").to_numpy()
             keep = ((100 + percent) * most_shared(p, q) >= percent * size) & may_link(size, odd_p, odd_q, percent)
+            wide = keep & (x.column("wa").is_valid().to_numpy(zero_copy_only=False) & x.column("wb").is_valid().to_numpy(zero_copy_only=False))
+            for i in np.flatnonzero(wide):
+                apart = wide_apart(x.column("wa")[i].as_py(), x.column("wb")[i].as_py())
+                keep[i] = (100 + percent) * (int(size[i]) - apart) >= 2 * percent * int(size[i])
             yield x.filter(pa.array(keep)).select(["a", "b", "na", "nb", "ta", "tb"])
 
     return rows.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, ta bigint, tb bigint")
@@ -218,8 +241,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percen
 
         return rows
 
+    # not cut: both joins take the sets from this one shuffle by node
     sets = map_rows(texts, "node bigint, s array<bigint>", work).groupBy("node").agg(F.first("s").alias("s"))
-    sets = cut(sets)
     a, b = (sets.select(F.col("node").alias(c), F.col("s").alias(f"s{c}")) for c in "ab")
     both = left.join(a, "a").join(b, "b").withColumn("k", F.size(F.array_intersect("sa", "sb")))
     return cut(both.where(100 * F.col("k") >= percent * (F.col("na") + F.col("nb") - F.col("k"))).select("a", "b"))
@@ -314,14 +337,15 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str
         def rows(cols):
             for d, t, h in zip(*cols, strict=True):
                 x = shingles(t, n)
-                yield (d, h, len(x), _node(x), _first_shingles(x, frequent.value, percent).view(np.int64), _point(x)) if len(x) else (d, h, 0, None, None, None)
+                yield (d, h, len(x), _node(x), _first_shingles(x, frequent.value, percent).view(np.int64), _point(x), _wide(x)) if len(x) else (d, h, 0, None, None, None, None)
 
         return rows
 
     id_type = docs.schema["d"].dataType.simpleString()
-    held = cut(map_rows(docs.select("d", "t", "h"), f"d {id_type}, t bigint, n bigint, node bigint, first array<bigint>, point binary", work))
-    nodes = cut(held.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first(F.size("first")).alias("k"), F.first("point").alias("point"), F.min("t").alias("t"), F.min("d").alias("d")))
-    found = held.where("node is not null").select(F.explode("first").alias("tok"), "node")
+    held = cut(map_rows(docs.select("d", "t", "h"), f"d {id_type}, t bigint, n bigint, node bigint, first array<bigint>, point binary, wide binary", work))
+    nodes = cut(held.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first(F.size("first")).alias("k"), F.first("point").alias("point"), F.first("wide").alias("wide"), F.min("t").alias("t"), F.min("d").alias("d")))
+    # one shuffle by shingle serves the counts and the join (few shingles repeat within a task, so combining first saves nothing)
+    found = held.where("node is not null").select(F.explode("first").alias("tok"), "node").where("tok is not null").repartition("tok")
     # shingles of one passage have the same members: of buckets alike by size and hash sums one is kept, with how many it stands for
     part = F.xxhash64("node")
     shared = found.groupBy("tok").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count("*").alias("c"), F.sum(F.shiftrightunsigned(part, 32)).alias("u"), F.sum(part.bitwiseAND(F.lit((1 << 32) - 1))).alias("v")).where("a <> z")

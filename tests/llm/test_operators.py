@@ -187,6 +187,38 @@ def test_rtree_finds_all():
         assert set(np.flatnonzero(ok)) <= set(tree.search(int(sizes[i]), points[i], 85).tolist())
 
 
+def test_wide_parities_never_lose_a_link():
+    rng = np.random.default_rng(5)
+    for n, gone in ((2500, 100), (4000, 300), (5000, 900), (9000, 40), (17000, 1400)):
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.union1d(a[gone:], rng.integers(0, 1 << 63, gone // 2).astype(np.uint64))
+        apart = ngram_join.wide_apart(ngram_join._wide(a), ngram_join._wide(b))
+        assert apart <= len(np.setxor1d(a, b)) and apart == ngram_join.wide_apart(ngram_join._wide(b), ngram_join._wide(a))
+        other = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        assert 185 * (len(a) + len(other) - ngram_join.wide_apart(ngram_join._wide(a), ngram_join._wide(other))) < 170 * (len(a) + len(other))
+    assert ngram_join._wide(a[: ngram_join.FINE]) is None
+
+
+def test_ngram_join_of_long_texts(spark):
+    rng = np.random.default_rng(6)
+    base = [[f"w{x}" for x in rng.integers(0, 5000, n)] for n in (3000, 3000, 6000, 2100)]
+    base[1][:400] = base[0][:400]
+    rows = [(i * 10, " ".join(w)) for i, w in enumerate(base)]
+    for i, w in enumerate(base):
+        for j, share in enumerate((0.01, 0.03, 0.06, 0.3)):
+            w = list(w)
+            for at in rng.integers(0, len(w), int(len(w) * share)):
+                w[at] = "changed"
+            rows.append((i * 10 + j + 1, " ".join(w[j * 30 :])))
+    sets, root = brute_components(rows, 4, 85)
+    least = {}
+    for (d, _), r in zip(sets, root, strict=True):
+        least[r] = min(least.get(r, d), d)
+    assert len(rows) > len(least) > len(base)
+    got = rows_of(ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert {d: least[r] for (d, _), r in zip(sets, root, strict=True)} == {d: r.component_id for d, r in got.items()}
+
+
 def test_large_bucket_is_split(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 20)
     words = [f"s{i}" for i in range(60)]
