@@ -4,11 +4,14 @@ A page is read into a tree of block elements; inline tags are transparent and
 text belongs to the innermost block. Elements that are boilerplate by their
 tag, role, or class and id words are removed. Every text block passes points
 for its length and its commas, discounted by its link density, to its
-container and half of them to the container above. The container with the
+container and, halved at each step, to every ancestor. The container with the
 best score (discounted by its own link density) is taken, raised to the
-``article`` or ``main`` around it; its siblings are kept when they score well
-or are long paragraphs without links. The text is all blocks left in what was
-kept, in page order.
+``article`` or ``main`` around it, and kept whole. Then at every level from
+there to the page, siblings count as content when they are sections beside a
+section, have points enough of their own, or are unlinked headings, lists,
+tables or paragraphs of any length; all between the first and the last of
+them is kept, but for containers that are mostly links. The text is all
+blocks left in what was kept, in page order.
 
 Row-wise work: pages stay in their partitions, one batch of them is in memory.
 
@@ -41,16 +44,18 @@ _BAD = set("nav navbar navigation menu footer sidebar aside ad ads advert advert
 _HEADERS = {"header"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar", "toolbar"}
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_SECTIONS = {"article", "main", "section"}
+_FLOW = _PARAGRAPH | set("ul ol dl table thead tbody tfoot tr figure hgroup".split())
 _FIRST = {"div": 5, "article": 25, "main": 15, "section": 5, "pre": 3, "td": 3, "blockquote": 3, "ul": -3, "ol": -3, "dl": -3, "form": -3, "address": -3, "th": -5}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "bad", "score", "chars", "linked", "seen")
+    __slots__ = ("tag", "parent", "children", "bad", "score", "points", "chars", "linked")
 
     def __init__(self, tag: str, parent: Node | None, bad: bool = False):
         self.tag, self.parent, self.bad = tag, parent, bad
         self.children: list = []  # nodes and text blocks ([text, linked characters])
-        self.score, self.chars, self.linked, self.seen = 0.0, 0, 0, False
+        self.score, self.points, self.chars, self.linked = 0.0, 0.0, 0, 0
 
 
 def _is_bad(tag: str, attributes: str, inside: bool) -> bool:
@@ -178,30 +183,56 @@ def _prune(node: Node) -> None:
             n.linked += c[1] if isinstance(c, list) else c.linked
 
 
-def _give(node: Node | None, points: float, scored: list) -> None:
-    if node is not None:
-        if not node.seen:
-            node.seen, node.score = True, node.score + _FIRST.get(node.tag, 0)
-            scored.append(node)
-        node.score += points
-
-
 def _score(root: Node) -> list[Node]:
-    scored: list[Node] = []
-    stack = [root]
+    """The elements with text; their scores, and in ``points`` the points of all their blocks."""
+    order, stack = [], [root]
     while stack:
         n = stack.pop()
+        order.append(n)
         stack.extend(c for c in n.children if isinstance(c, Node))
-        for text, linked in (c for c in n.children if isinstance(c, list)):
-            points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / max(1, len(text)))
-            home = n.parent if n.tag in _PARAGRAPH and n.parent is not None else n
-            _give(home, points, scored)
-            _give(home.parent, points / 2, scored)
+    scored: list[Node] = []
+    for n in reversed(order):  # children before parents
+        own = sum((1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / max(1, len(text))) for text, linked in (c for c in n.children if isinstance(c, list)))
+        n.points += own
+        if n.tag in _PARAGRAPH:
+            passed = own + n.score / 2
+        else:
+            n.score += own
+            passed = n.score / 2
+        if n.parent is not None:
+            n.parent.points += n.points
+            n.parent.score += passed
+        if n.chars and not (n.tag in _PARAGRAPH and _is_leaf(n)):
+            scored.append(n)
     for n in scored:
-        n.score *= 1 - n.linked / max(1, n.chars)
+        n.score = (n.score + _FIRST.get(n.tag, 0)) * (1 - n.linked / n.chars)
     return scored
 
 
+def _is_content(c: Node | list, node: Node, best: float) -> bool:
+    """Whether a sibling of ``node``, which holds the main text, is content too; ``best``: most points of a sibling."""
+    if isinstance(c, list):
+        return 2 * c[1] < len(c[0])
+    if not c.chars or 2 * c.linked >= c.chars:
+        return False
+    alike = c.tag == node.tag and (c.tag in _SECTIONS or _is_leaf(c) and _is_leaf(node))
+    return alike or c.tag in _FLOW or c.points >= min(10.0, 0.1 * best)
+
+
+def _is_leaf(node: Node) -> bool:
+    return all(isinstance(c, list) for c in node.children)
+
+
+def _around(node: Node) -> tuple[list, list]:
+    """What is kept of the siblings before and after ``node``."""
+    row = node.parent.children
+    at = next(i for i, c in enumerate(row) if c is node)
+    best = max(c.points for c in row if isinstance(c, Node))
+    found = [i for i, c in enumerate(row) if i == at or _is_content(c, node, best)]
+    stays = lambda c: isinstance(c, list) or c.tag in _PARAGRAPH or 2 * c.linked < c.chars
+    return [c for c in row[found[0] : at] if stays(c)], [c for c in row[at + 1 : found[-1] + 1] if stays(c)]
+
+
 def _texts(node: Node) -> list[str]:
     out, stack = [], [node]
     while stack:
@@ -229,16 +260,14 @@ def main_text(page: str | None) -> str:
         while up.parent is not None and (outer := next((p for p in _above(up) if p.tag == "article"), None)):
             up = outer
         best = up
-    if best.parent is None:
-        return "\n".join(_texts(best))
-    least = max(10.0, 0.2 * best.score)
-    kept = []
-    for c in best.parent.children:
-        if c is best:
-            kept.append(c)
-        elif isinstance(c, Node) and (c.seen and c.score >= least or c.tag == "p" and c.chars > 80 and c.linked < 0.25 * c.chars):
-            kept.append(c)
-    return "\n".join(t for c in kept for t in _texts(c))
+    before, after, node = [], [], best  # before: from the innermost level outwards
+    while node.parent is not None:
+        first, last = _around(node)
+        before.append(first)
+        after.extend(last)
+        node = node.parent
+    kept = [*(c for level in reversed(before) for c in level), best, *after]
+    return "\n".join(t for c in kept for t in ([c[0]] if isinstance(c, list) else _texts(c)))
 
 
 def _above(node: Node):

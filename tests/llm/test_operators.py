@@ -419,6 +419,28 @@ def test_html(spark):
     assert html_extract.main_text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+def _sections(*sizes, top="", tail=""):
+    line = "Sentence {} of part {}, which says one thing, then another, and ends after some more words."
+    parts = [f"<section><div>{''.join(f'<p>{line.format(i, k)}</p>' for i in range(n))}</div></section>" for k, n in enumerate(sizes)]
+    want = [line.format(i, k) for k, n in enumerate(sizes) for i in range(n)]
+    return f"<body><div><a href=a>One</a> <a href=b>Two</a></div><div>{top}{''.join(parts)}{tail}</div><div><a href=c>Imprint</a></div></body>", want
+
+
+def test_html_without_article_keeps_every_section():
+    for sizes in ((3, 3, 3), (9, 1, 4), (2, 12), (1, 1, 1, 1, 1, 1)):
+        page, want = _sections(*sizes)
+        assert html_extract.main_text(page).split("\n") == want, sizes
+
+
+def test_html_keeps_what_stands_beside_the_best_container():
+    page, want = _sections(6, 2, top="<h1>Head</h1><p>By me</p>", tail="<ul><li>a</li><li>b</li></ul><table><tr><td>1</td></tr></table><pre>x = 1</pre><p>End.</p>")
+    assert html_extract.main_text(page).split("\n") == ["Head", "By me", *want, "a", "b", "1", "x = 1", "End."]
+    one = "<p>A long paragraph, with commas, that scores well, as the main text of a page does.</p>" * 4
+    page = f"<body><h1>T</h1><div>{one}</div><p>Short.</p><h2>H</h2><div>{one}</div><ul><li><a href=x>Away</a></li></ul></body>"
+    got = html_extract.main_text(page).split("\n")
+    assert got[0] == "T" and got[5:7] == ["Short.", "H"] and len(got) == 11
+
+
 # --- queries and pipeline
 
 
