@@ -2,7 +2,10 @@
 
 A page is read into a tree of block elements; inline tags are transparent and
 text belongs to the innermost block. Elements that are boilerplate by their
-tag, role, or class and id words are removed. Every text block passes points
+tag, their role or a whole class name ("ad", "comments") are removed. A mere
+word of a class or id ("related-work"; not the id of a heading) only makes an element suspect: it goes
+if it is mostly links or, outside an article or main and unless a heading or
+paragraph, if it is short or has many links; else it loses points. Every text block passes points
 for its length and its commas, discounted by its link density, to its
 container and, halved at each step, to every ancestor. The container with the
 best score (discounted by its own link density) is taken, raised to the
@@ -41,6 +44,14 @@ _BLOCK = _PARAGRAPH | _DROPPED | set("html body div article section main header
 _ENDS_P = _BLOCK - {"td", "th", "tr", "thead", "tbody", "tfoot", "caption", "html", "body", "button", "option", "svg", "math"}
 _SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"})}
 _BAD = set("nav navbar navigation menu footer sidebar aside ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments disqus replies respond reply share sharing social breadcrumb breadcrumbs pagination pager related recommended recommendations widget toolbar masthead skip gdpr paywall toc".split())
+#: Words of ``_BAD`` that, as a whole class name, are in use for content as well.
+_UNSURE = set("menu notice notices alert related recommended recommendations consent promotion respond banner modal overlay widget".split())
+_SURE = _BAD - _UNSURE
+_PLAIN = set("p pre blockquote h1 h2 h3 h4 h5 h6".split())
+#: Degrees of ``bad``: suspect; suspect, but a heading, a paragraph or within an article or main; boilerplate.
+SUSPECT, SPARED, BAD = 1, 2, 3
+#: Characters of a long text; points that a suspect element loses.
+LONG, LOSS = 200, 10
 _HEADERS = {"header"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar", "toolbar"}
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -52,29 +63,31 @@ _FIRST = {"div": 5, "article": 25, "main": 15, "section": 5, "pre": 3, "td": 3,
 class Node:
     __slots__ = ("tag", "parent", "children", "bad", "score", "points", "chars", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, bad: bool = False):
+    def __init__(self, tag: str, parent: Node | None, bad: int = 0):
         self.tag, self.parent, self.bad = tag, parent, bad
         self.children: list = []  # nodes and text blocks ([text, linked characters])
         self.score, self.points, self.chars, self.linked = 0.0, 0.0, 0, 0
 
 
-def _is_bad(tag: str, attributes: str, inside: bool) -> bool:
-    """Boilerplate by tag, role, visibility, or a word of class or id; ``inside``: within an article or main."""
+def _badness(tag: str, attributes: str, inside: bool) -> int:
+    """Boilerplate by tag, role, visibility or class name, or suspect by a word of class or id; ``inside``: within an article or main."""
     if tag in _DROPPED or tag in _HEADERS and not inside:
-        return True
+        return BAD
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
+    suspect = False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value.lower() in _ROLES:
-            return True
+            return BAD
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if name in ("class", "id"):
+            return BAD
+        if name == "class" or name == "id" and tag not in _PLAIN:  # the id of a heading or paragraph is an anchor
+            if name == "class" and not _SURE.isdisjoint(value.lower().split()):
+                return BAD
             words = {w.lower() for w in _WORDS.findall(value)}
-            if words & _BAD or not inside and words & _HEADERS:
-                return True
-    return False
+            suspect = suspect or bool(words & _BAD or not inside and words & _HEADERS)
+    return (SPARED if inside or tag in _PLAIN else SUSPECT) if suspect else 0
 
 
 def read_tree(page: str) -> Node:
@@ -150,7 +163,7 @@ def read_tree(page: str) -> Node:
                 continue
             if tag[0] == "h" and tag[1:].isdigit() and at.tag[0] == "h" and at.tag[1:].isdigit():
                 close({at.tag}, set())
-            at.children.append(child := Node(tag, at, _is_bad(tag, token[name.end() : -1].strip().rstrip("/"), inside > 0)))
+            at.children.append(child := Node(tag, at, _badness(tag, token[name.end() : -1].strip().rstrip("/"), inside > 0)))
             at = child
             inside += tag in ("article", "main")
         elif tag == "frameset":
@@ -169,18 +182,30 @@ def _raw_unclosed(page: str) -> str:
     return page
 
 
-def _prune(node: Node) -> None:
-    """Removes boilerplate and adds up characters and linked characters; iterative, since trees can be deep."""
+def _add_up(node: Node) -> list[Node]:
+    """Adds up characters and linked characters without what is boilerplate; the nodes left; iterative, since trees can be deep."""
     order, stack = [], [node]
     while stack:
         n = stack.pop()
-        n.children = [c for c in n.children if isinstance(c, list) or not c.bad]
+        n.children = [c for c in n.children if isinstance(c, list) or c.bad != BAD]
+        n.chars = n.linked = 0
         order.append(n)
         stack.extend(c for c in n.children if isinstance(c, Node))
     for n in reversed(order):
         for c in n.children:
             n.chars += len(c[0]) if isinstance(c, list) else c.chars
             n.linked += c[1] if isinstance(c, list) else c.linked
+    return order
+
+
+def _prune(node: Node) -> None:
+    """Removes boilerplate, and suspect elements by their length and link density."""
+    suspects = [n for n in _add_up(node) if n.bad]
+    for n in suspects:
+        if 2 * n.linked >= n.chars or n.bad == SUSPECT and (n.chars < LONG or 4 * n.linked >= n.chars):
+            n.bad = BAD
+    if suspects:
+        _add_up(node)
 
 
 def _score(root: Node) -> list[Node]:
@@ -205,7 +230,7 @@ def _score(root: Node) -> list[Node]:
         if n.chars and not (n.tag in _PARAGRAPH and _is_leaf(n)):
             scored.append(n)
     for n in scored:
-        n.score = (n.score + _FIRST.get(n.tag, 0)) * (1 - n.linked / n.chars)
+        n.score = (n.score + _FIRST.get(n.tag, 0) - LOSS * (n.bad > 0)) * (1 - n.linked / n.chars)
     return scored
 
 
@@ -216,7 +241,8 @@ def _is_content(c: Node | list, node: Node, best: float) -> bool:
     if not c.chars or 2 * c.linked >= c.chars:
         return False
     alike = c.tag == node.tag and (c.tag in _SECTIONS or _is_leaf(c) and _is_leaf(node))
-    return alike or c.tag in _FLOW or c.points >= min(10.0, 0.1 * best)
+    points = c.points - LOSS * (c.bad > 0)
+    return points > 0 and (alike or c.tag in _FLOW or points >= min(10.0, 0.1 * best))
 
 
 def _is_leaf(node: Node) -> bool:

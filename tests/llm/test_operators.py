@@ -441,6 +441,16 @@ def test_html_keeps_what_stands_beside_the_best_container():
     assert got[0] == "T" and got[5:7] == ["Short.", "H"] and len(got) == 11
 
 
+def test_html_slug_ids_are_no_boilerplate():
+    long = "Earlier work, as far as we know, has looked at this, at that, and at some more of it. " * 4
+    inner = f'<h1 id="share-of-votes">Votes</h1><p>{long}</p><h2 id="menu-design">Menus</h2><p id="notice-period">A month.</p><section id="related-work"><h2>Related work</h2><p>{long}</p></section>'
+    want = ["Votes", long.strip(), "Menus", "A month.", "Related work", long.strip()]
+    links = '<div class="related-posts"><h3>More</h3><a href=a>Another post</a> <a href=b>Yet another post</a></div><div class="big ad">Buy, buy</div><ul class=comments><li>Nice, nice</ul>'
+    for page in (f"<article>{inner}{links}</article>", f"<main><div>{inner}</div>{links}</main>", f"<body><div>{inner}</div>{links}<div id=cookie-bar>We use some.</div></body>"):
+        assert html_extract.main_text(page).split("\n") == want, page[:9]
+    assert html_extract.main_text(f'<body><h1 id="share-of-votes">Votes</h1><div><p>{long}</p></div><p id="notice-period">A month.</p></body>').split("\n") == ["Votes", long.strip(), "A month."]
+
+
 # --- queries and pipeline
 
 
