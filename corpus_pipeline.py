@@ -41,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without an id are kept; of repeated rows with that id one stays.
     """
     docs = docs.select(*COLUMNS)
-    found = ngram_join.near_duplicates(docs, n=5, percent=80)
+    found = ngram_join.near_duplicates(docs, n=5, percent=80, count_links=False)
     stay = found.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi")
     once = kept.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("x"))

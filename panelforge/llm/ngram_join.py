@@ -27,6 +27,12 @@ shorter. Large buckets are
 split by size class (a linked pair is in the same or the next class), then
 into blocks of at most about ``BLOCK`` members. Equal sets are one node.
 
+Those links suffice for the components, and all links are within one. The
+links of a set are then counted exactly: the sets of each component of three
+or more are dealt to blocks, and each pair of blocks counts the shingles that
+its sets share, frequent ones by matrix products and rare ones pair by pair.
+The work grows with the square of a group of unlike near copies.
+
 Edge cases: null, empty and word-less texts have no shingles and no links;
 texts of fewer than ``n`` words are one shingle; repeated rows are copies of
 each other; rows with a null id take part, but a component's id is its least
@@ -52,6 +58,8 @@ LEAF = 48
 _WIDTH = GROUPS + FINE // 8
 #: Texts looked at for the order of shingles, and in how many of them a frequent shingle is found; the results do not depend on either.
 SAMPLE, FREQUENT, TABLE = 8000, 3, 22
+#: Sets and shingles of a block in which links are counted; shingles of more sets than ``RARE`` are counted by matrix products of ``WIDTH`` columns.
+COUNTED, COUNTED_SHINGLES, RARE, WIDTH = 1024, 1 << 20, 32, 4096
 #: Ids up to this many bytes are broadcast; beyond it the texts are shuffled.
 BROADCAST = 8 << 20
 _P, _Q = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
@@ -328,8 +336,96 @@ def _bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, n_links (verified links of its set; not all links of a group), component_id."""
+def shared_shingles(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of ``sets`` (each without repeats); the diagonal is not filled."""
+    m = len(sets)
+    out = np.zeros((m, m), dtype=np.float32)  # whole numbers below 2 ** 24
+    of = np.repeat(np.arange(m), [len(x) for x in sets])
+    values = np.concatenate(sets)
+    by = np.argsort(values, kind="stable")
+    at = np.flatnonzero(np.concatenate([[True], np.diff(values[by]) != 0]))
+    of, counts = of[by], np.diff(np.append(at, len(by)))
+    for c in range(2, min(RARE, m) + 1):
+        rows = of[at[counts == c][:, None] + np.arange(c)]
+        left, right = np.triu_indices(c, 1)
+        step = max(1, (1 << 22) // len(left))
+        for k in range(0, len(rows), step):
+            part = rows[k : k + step]  # ascending, since the sort is stable
+            pair, times = np.unique(part[:, left].ravel() * m + part[:, right].ravel(), return_counts=True)
+            out.ravel()[pair] += times
+    out += out.T
+    often = np.flatnonzero(counts > RARE)
+    for k in range(0, len(often), WIDTH):
+        part = often[k : k + WIDTH]
+        has = np.zeros((m, len(part)), dtype=np.float32)
+        column = np.repeat(np.arange(len(part)), counts[part])
+        first = np.cumsum(counts[part]) - counts[part]
+        has[of[at[part][column] + np.arange(len(column)) - first[column]], column] = 1
+        out += has @ has.T
+    return out
+
+
+def _count_links(nodes: DataFrame, comp: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """node, n_links of the nodes of components (``comp``) of more than two."""
+    of = nodes.select("node", "n", F.col("t").alias("h")).join(comp, "node")
+    blocks = of.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("s")).where("m > 2")
+    blocks = blocks.select("comp", F.greatest(F.ceil(F.col("m") / COUNTED), F.ceil(F.col("s") / COUNTED_SHINGLES)).cast("int").alias("nb"))
+    wanted = cut(of.join(blocks, "comp").select("h", "node", "comp", "nb"))
+    small = wanted.count() * 40 <= BROADCAST
+    texts = docs.select("h", "t").join(F.broadcast(wanted) if small else wanted, "h").select("t", "node", "comp", "nb")
+
+    def work():
+        done: set[int] = set()
+
+        def rows(cols):
+            for t, node, c, nb in zip(*cols, strict=True):
+                if node not in done:  # copies in one task are told apart once
+                    x = shingles(t, n)
+                    if _node(x) == node:
+                        done.add(node)
+                        yield node, c, nb, x.tobytes()
+
+        return rows
+
+    rows = map_rows(texts, "node bigint, comp bigint, nb int, s binary", work)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb").cast("bigint")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    rows = rows.select("comp", F.least("own", "x").alias("b1"), F.greatest("own", "x").alias("b2"), "own", "node", "s")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, "comp", "b1", "b2").sortWithinPartitions("comp", "b1", "b2")
+
+    def linked(key: tuple, group: dict) -> Iterator[tuple[int, int]]:
+        shared = shared_shingles([x for _, x in group.values()]).astype(np.int64)
+        own, size = np.array([o for o, _ in group.values()]), np.array([len(x) for _, x in group.values()])
+        link = 100 * shared >= percent * (size[:, None] + size - shared)
+        if key[1] != key[2]:
+            link &= own[:, None] != own
+        np.fill_diagonal(link, False)
+        return zip(group, link.sum(axis=1).tolist(), strict=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("node", pa.int64()), ("k", pa.int64())])
+        made = lambda key, group: pa.RecordBatch.from_pylist([{"node": a, "k": k} for a, k in linked(key, group)], schema=schema)
+        key, group = None, {}
+        for batch in batches:
+            keys = zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True)
+            for i, (*of_row, own, node) in enumerate(keys):
+                if of_row != key:
+                    if len(group) > 1:
+                        yield made(key, group)
+                    key, group = of_row, {}
+                if node not in group:  # copies from other tasks
+                    group[node] = (own, np.frombuffer(batch.column(5)[i].as_py(), dtype=np.uint64))
+        if len(group) > 1:
+            yield made(key, group)
+
+    return rows.mapInArrow(run, "node bigint, k bigint").groupBy("node").agg(F.sum("k").alias("n_links"))
+
+
+def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text", count_links: bool = True) -> DataFrame:
+    """One row per document: doc_id, n_shingles, n_links (other distinct sets that its set links with), component_id.
+
+    Without ``count_links`` there is no n_links, for callers that only need the components.
+    """
     docs = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).withColumn("h", F.xxhash64("t"))
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, n))  # 2 ** TABLE bytes
 
@@ -364,10 +460,13 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str
     more = verified(_bucket_pairs(rows, percent), nodes, docs, n, percent)
     every = links.unionAll(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     comp = components(every)
-    degree = every.select(F.col("a").alias("node")).unionAll(every.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
     least = nodes.select("node", "d").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     root = least.groupBy("comp").agg(F.min("d").alias("component_id"))
-    label = least.join(root, "comp").join(degree, "node", "left").select("node", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return held.select("d", "n", "node").join(label, "node", "left").select(
-        F.col("d").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.when(F.col("node").isNull(), F.col("d")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    label = least.join(root, "comp").select("node", "component_id")
+    shown = [F.col("d").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("d")).otherwise(F.col("component_id")).alias("component_id")]
+    if count_links:
+        # a set of a component of two has one link
+        counted = comp.select("node").join(cut(_count_links(nodes, comp, docs, n, percent)), "node", "left").select("node", F.coalesce("n_links", F.lit(1)).alias("n_links"))
+        label = label.join(counted, "node", "left")
+        shown.insert(2, F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return held.select("d", "n", "node").join(label, "node", "left").select(*shown)

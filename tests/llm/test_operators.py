@@ -231,6 +231,43 @@ def test_large_bucket_is_split(spark, monkeypatch):
     assert {d: least[r] for (d, _), r in zip(sets, root, strict=True)} == {d: r.component_id for d, r in got.items()}
 
 
+def brute_links(rows, n, percent):
+    """Document: other distinct sets that its set links with."""
+    sets, _ = brute_components(rows, n, percent)
+    kinds = {frozenset(s) for _, s in sets if s}
+    return {d: sum(s != x and 100 * len(s & x) >= percent * len(s | x) for x in kinds) if s else 0 for d, s in sets}
+
+
+def test_ngram_join_counts_all_links(spark, monkeypatch):
+    words = [f"s{i}" for i in range(70)]
+    rows = [(d, " ".join([*words[: 3 + d % 60], *[f"own{d}"] * (d < 90), *words[3 + d % 60 :]])) for d in range(120)]
+    rows += [(200 + d, " ".join(words[d:])) for d in range(20)]
+    rows += [(300 + d, " ".join(f"t{i}" for i in range(50 + d))) for d in range(2)] + [(400, None), (401, "alone")]
+    want = brute_links(rows, 4, 85)
+    assert max(want.values()) > 50 and want[300] == 1 and want[401] == 0
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for counted, rare in ((1024, 32), (25, 4)):
+        monkeypatch.setattr(ngram_join, "COUNTED", counted)
+        monkeypatch.setattr(ngram_join, "RARE", rare)
+        out = ngram_join.near_duplicates(frame)
+        assert out.columns == ["doc_id", "n_shingles", "n_links", "component_id"]
+        assert {r.doc_id: r.n_links for r in out.collect()} == want
+    three = spark.createDataFrame([(i, " ".join([*words[:40], x, *words[40:]])) for i, x in enumerate(("a", "b", "c"))], "doc_id bigint, text string")
+    assert [r.n_links for r in ngram_join.near_duplicates(three).collect()] == [2, 2, 2]
+
+
+def test_shared_shingles_are_exact(monkeypatch):
+    rng = np.random.default_rng(7)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(60)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    for rare, width in ((32, 4096), (5, 7), (100, 8), (1, 50)):
+        monkeypatch.setattr(ngram_join, "RARE", rare)
+        monkeypatch.setattr(ngram_join, "WIDTH", width)
+        got = ngram_join.shared_shingles(sets)
+        off = ~np.eye(60, dtype=bool)
+        assert (got[off] == np.array(want)[off]).all()
+
+
 def test_ngram_join_edges(docs, none):
     out = ngram_join.near_duplicates(docs).collect()
     assert len(out) == len(ROWS)
