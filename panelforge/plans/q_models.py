@@ -43,16 +43,14 @@ for _q, _m in [("train_ols", "LinearRegression"), ("train_ridge", "Ridge"), ("tr
 
 @query("importances")
 def importances(spark, sf):
-    """EXP-02/03 + WIN-08: ranked importance tables of a linear and a tree model."""
-    results, p = [], None
-    for name in ("LinearRegression", "DecisionTree"):
-        res, p = _train(name, spark, sf)
-        results.append(res)
+    """EXP-02/03 + WIN-08: ranked importance tables of every registered model that has them."""
+    p = _prepared(spark, sf)
+    results = [MD.train_one(m, p.data, LI_PANEL.target, p.features, p.scaled_features) for m in _registry().values()]
     return X.training_importances(spark, results, p.features, p.scaled_features)
 
 
 def li_requests(spark, sf):
-    """Stand-in requests from the LI panel's test split: today's channels, the previous 7
+    """Stand-in requests, one per row of the LI panel: today's channels, the previous 7
     targets and previous channel readings, as a serving client would send them."""
     p = li_panel(spark, sf)
     feats = [W.Feature(f"_h{k}", "lag", "q", k) for k in range(1, 8)]
@@ -61,7 +59,7 @@ def li_requests(spark, sf):
     chan = F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).alias("v")) for c in LI_PANEL.channels])
     lags = F.array(*[F.struct(F.lit(f.name).alias("k"), F.col(f.name).alias("v")) for f in feats if not
                      f.name.startswith("_h")])
-    return p.where(F.col("day") > F.lit("1999-12-31").cast("date")).select(
+    return p.select(
         "entity", F.col("day").cast("string").alias("date"),
         F.map_from_entries(F.filter(chan, lambda e: e["v"].isNotNull())).alias("channels"),
         F.array(*[F.col(f"_h{k}") for k in range(7, 0, -1)]).alias("target_history"),

@@ -22,7 +22,7 @@ def event_payloads(spark, sf):
         F.struct(F.lit("X").alias("name")).alias("country"),
         F.struct(F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude")
                  ).alias("coordinates"),
-        F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("local")).alias("datetimeLast"),
+        F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("local")).alias("datetimeLast"),
         F.array(F.struct(F.struct(name.alias("name")).alias("parameter"),
                          F.struct(F.col("value").alias("value")).alias("latest"))).alias("sensors"),
     )
@@ -32,13 +32,13 @@ def event_payloads(spark, sf):
 
 @query("stream_daily")
 def stream_daily(spark, sf):
-    """STR-01/02: landed station reports -> deduplicated readings -> daily per-city
-    aggregates (update mode; the latest emitted row per (city, day) is the result)."""
+    """STR-01/02: landed station reports -> deduplicated readings -> daily aggregates per city and
+    sensor (update mode; the latest emitted row per (city, day, sensor) is the result)."""
     land, out, ckpt = P.scratch(spark, "land"), P.scratch(spark, "daily"), P.scratch(spark, "ckpt")
     event_payloads(spark, sf).write.mode("overwrite").text(land)
-    agg = P.daily_aggregates(P.station_stream(spark, land), "city", "pm25")
+    agg = P.daily_sensor_aggregates(P.station_stream(spark, land), "city")
     P.run_available_now(agg, out, ckpt, "update", P.upsert_batches(out))
-    return P.latest_rows(spark, out, ["city", "day"])
+    return P.latest_rows(spark, out, ["city", "day", "sensor"])
 
 
 @query("stream_features")
@@ -47,9 +47,10 @@ def stream_features(spark, sf):
     landed week by week, with the last 7 values per entity as state."""
     land, out, ckpt = P.scratch(spark, "panel"), P.scratch(spark, "feat"), P.scratch(spark, "ckpt")
     panel = ev_panel(spark, sf).select("entity", "day", "aqi")
-    weeks = [r[0] for r in panel.select(F.weekofyear("day").alias("w")).distinct().orderBy("w").collect()]
+    week = F.date_trunc("week", "day")
+    weeks = [r[0] for r in panel.select(week.alias("w")).distinct().orderBy("w").collect()]
     for w in weeks:  # land in time order; each file holds whole entities of one week
-        panel.where(F.weekofyear("day") == w).repartition(4, "entity").write.mode("append").parquet(land)
+        panel.where(week == F.lit(w)).repartition(4, "entity").write.mode("append").parquet(land)
     src = spark.readStream.schema(panel.schema).option("maxFilesPerTrigger", 4).parquet(land)
     feats = P.stateful_features(src, "entity", "day", "aqi")
     P.run_available_now(feats, out, ckpt, "append")

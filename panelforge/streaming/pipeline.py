@@ -2,7 +2,8 @@
 
 * STR-01 ``station_stream``: landed station JSON -> reading rows; event time from the
   station's last update; watermark + ``dropDuplicatesWithinWatermark``.
-* STR-02 ``daily_aggregates``: tumbling 1-day windows per city with a watermark.
+* STR-02 ``daily_aggregates``: tumbling 1-day windows per city with a watermark;
+  ``daily_sensor_aggregates`` has a row per sensor as well.
 * STR-03 ``stateful_features``: lag / rolling features per entity with the last
   ``n`` target values as state (``applyInPandasWithState``; ``lag()`` is not
   allowed on streams). Rows must arrive in time order per entity; a row whose
@@ -27,6 +28,9 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from ..session import checkpoint_dir
 from ..sources.stations import PAYLOAD, stations_from_payload
 
+#: The sensors of a reading row.
+SENSORS = ("pm25", "pm10", "no2", "so2", "co", "o3")
+
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
@@ -51,6 +55,15 @@ def daily_aggregates(readings: DataFrame, entity: str = "city", value: str = "pm
     ).select(entity, F.col("w.start").cast("date").alias("day"), "readings", "mean", "max")
 
 
+def daily_sensor_aggregates(readings: DataFrame, entity: str = "city", sensors=SENSORS) -> DataFrame:
+    """STR-02 for every sensor: readings, rounded mean and max per entity, day and sensor; absent readings count for nothing."""
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("sensor"), F.col(s).alias("value")) for s in sensors]))
+    rows = readings.select("ts", entity, each.alias("r")).select("ts", entity, "r.sensor", "r.value").where("value is not null")
+    return rows.groupBy(F.window("ts", "1 day").alias("w"), entity, "sensor").agg(
+        F.count("value").alias("readings"), F.round(F.avg("value"), 1).alias("mean"), F.round(F.max("value"), 1).alias("max")
+    ).select(entity, F.col("w.start").cast("date").alias("day"), "sensor", "readings", "mean", "max")
+
+
 def run_available_now(df: DataFrame, out_path: str, ckpt: str, mode: str = "append", batch_fn=None) -> None:
     """Run a stream over everything available, then stop (batch-like runs, tests)."""
     w = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
