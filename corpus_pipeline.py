@@ -38,14 +38,16 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, similarity 0.8) the document with the least id stays.
 
-    Documents without an id are kept; of repeated rows with that id one stays.
+    Documents without an id are kept. Rows count as repeated, and one stays, if id and text are the same;
+    other rows of one id are documents of their own, the one with the lesser hash of its text first.
     """
-    docs = docs.select(*COLUMNS)
-    found = ngram_join.near_duplicates(docs, n=5, percent=80, count_links=False)
-    stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi")
-    once = kept.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("x"))
-    return once.select("doc_id", "x.*").unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    docs = docs.select(*COLUMNS).withColumn("h", F.xxhash64("text"))
+    keyed = docs.withColumn("key", F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h")))
+    found = ngram_join.near_duplicates(keyed, n=5, percent=80, doc_id="key", count_links=False)
+    stay = found.where("doc_id = component_id").select("doc_id.doc_id", "doc_id.h").distinct()
+    kept = docs.where("doc_id is not null").join(stay, ["doc_id", "h"], "left_semi")
+    once = kept.groupBy("doc_id", "h").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("x"))
+    return once.select("doc_id", "x.*").unionByName(docs.where("doc_id is null").drop("h")).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
