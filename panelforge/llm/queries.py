@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: production parameters, whole tables.
+"""The registered queries of the operators: production parameters, whole tables.
 
 Each query gets its rows from its operator; digests are derived here.
 ``ORACLE`` has the DuckDB SQL where SQL can express the result.
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotrain, decontam, html_extract, langid, line_dedup, ngram_join, packing, pii, quality_rules, toxicity
+from . import cotrain, decontam, exact_dedup, fim, html_extract, importance, langid, line_dedup, ngram_join, packing, pii, quality_rules, toxicity
 from .common import crc_mod, table
 
 
@@ -83,6 +83,39 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages)
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark_copies(table(spark, sf_dir, "documents").select("doc_id", "text"), drop=("text",))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, sf_dir, "benchmark").select("text"), drop=("text",))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+_EXACT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),
+k AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY length(t) DESC, doc_id) AS keep_id FROM d)
+SELECT doc_id, keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size, doc_id = keep_id AS kept, text_sha256 FROM k
+"""
+
+_FIM_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^
+]*
+|[^
+]+') AS u, sha256('7:' || doc_id) AS h FROM documents),
+e AS (SELECT *, len(u) AS n, [('0x' || substr(h, 8 * i + 1, 8))::BIGINT FOR i IN range(4)] AS r FROM d),
+c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100 THEN 'plain' WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM e),
+p AS (SELECT *, array_to_string(u[1:a], '') AS x, array_to_string(u[a + 1:b], '') AS y, array_to_string(u[b + 1:], '') AS z FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(x) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(y) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p
+"""
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -94,5 +127,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_html": op10_html,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_importance": op12_importance,
+    "op13_fim": op13_fim,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_exact_dedup": _EXACT_SQL, "op13_fim": _FIM_SQL}
