@@ -78,6 +78,7 @@ def _merge(run: DataFrame) -> DataFrame:
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for b in batches:
+            b = pa.RecordBatch.from_arrays(b.columns, names=b.schema.names)  # all columns nullable, as in what is held
             if held is not None:
                 b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
             if not b.num_rows:

@@ -96,6 +96,20 @@ def test_exact_dedup_over_any_number_of_runs(spark, parts, fan):
     check_groups(exact_dedup.mark_copies(frame, fan_bits=fan).collect(), rows)
 
 
+@pytest.mark.parametrize("size", [1, 7])
+def test_operators_over_many_batches(spark, docs, size):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, size)
+        rows = [r[:2] for r in ROWS]
+        check_groups(exact_dedup.mark_copies(docs.coalesce(1)).collect(), rows)
+        got = fim.round_trip(docs, chunk=1000).collect()
+        assert sorted(map(tuple, got), key=str) == sorted([(*x, sha(out), sha(t)) for x, out, t in (brute_fim(*r) for r in rows)], key=str)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_exact_dedup_edges(spark, docs, none):
     out = exact_dedup.mark_copies(docs)
     assert out.columns == [c for c in docs.columns if c not in ("keep_id", "kept")] + ["keep_id", "group_size", "kept", "text_sha256"]
