@@ -1,7 +1,7 @@
 """Helpers shared by the training-data operators.
 
 Row-wise operators run as ``mapInArrow`` over the input partitions: they need
-no shuffle, their memory is one Arrow batch plus a bounded cache, and a lost
+no shuffle, their memory is one Arrow batch of bounded bytes plus a bounded cache, and a lost
 executor only costs the tasks it was running. Text columns are handed over as
 UTF-8 bytes, so no Python string is built unless an operator needs one.
 """
@@ -11,7 +11,9 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +21,10 @@ from pyspark.sql import types as T
 
 from panelforge.session import checkpoint_dir, cut_lineage
 
-#: Rows of a batch that are worked on at a time; bounds the Python objects alive.
-ROWS = 512
+#: Rows and bytes of a batch that are worked on at a time (one row at least); bounds the Python objects alive.
+ROWS, SLICE_BYTES = 512, 2 << 20
+#: Bytes of an Arrow batch between Spark and Python, in both processes of every running task.
+BATCH_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -55,6 +59,30 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's bound of an Arrow batch to ``BATCH_BYTES`` (its default holds 64 MB of whole texts)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) != BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most ``ROWS`` rows and ``SLICE_BYTES`` bytes of texts (or one row)."""
+    n = batch.num_rows
+    size = np.zeros(n, dtype=np.int64)
+    for c in batch.columns:
+        if pa.types.is_string(c.type) or pa.types.is_binary(c.type) or pa.types.is_large_string(c.type) or pa.types.is_large_binary(c.type):
+            size += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size)
+    at = 0
+    while at < n:
+        before = int(ends[at - 1]) if at else 0
+        to = int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))
+        to = max(at + 1, min(n, at + ROWS, to))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def as_bytes(column) -> list:
     """Values of an Arrow string column as UTF-8 bytes (None stays None)."""
     if pa.types.is_large_string(column.type):
@@ -67,8 +95,9 @@ def map_rows(df: DataFrame, schema: T.StructType | str, work: Callable[[], Calla
 
     ``work()`` is called once per task (automata, tokenizers, caches) and
     returns ``f(columns) -> rows``; string columns arrive as bytes. Batches
-    are handed over in slices of ``ROWS`` rows.
+    are handed over in slices of bounded rows and bytes.
     """
+    small_batches(df.sparkSession)
     out = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -77,8 +106,7 @@ def map_rows(df: DataFrame, schema: T.StructType | str, work: Callable[[], Calla
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = None
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
+            for part in slices(batch):
                 columns = [as_bytes(c) if pa.types.is_string(c.type) or pa.types.is_large_string(c.type) else c.to_pylist() for c in part.columns]
                 f = f or work()
                 rows = list(f(columns))
@@ -98,6 +126,7 @@ def append_columns(df: DataFrame, inputs: list[str], added: str, work: Callable[
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    small_batches(df.sparkSession)
     new = T.StructType.fromDDL(added)
     lower = {f.name.lower() for f in new.fields} | {d.lower() for d in drop}
     kept = [i for i, f in enumerate(df.schema.fields) if f.name.lower() not in lower]
@@ -108,8 +137,7 @@ def append_columns(df: DataFrame, inputs: list[str], added: str, work: Callable[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = None
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
+            for part in slices(batch):
                 f = f or work()
                 cols = [as_bytes(part.column(i)) if pa.types.is_string(part.column(i).type) or pa.types.is_large_string(part.column(i).type) else part.column(i).to_pylist() for i in at]
                 made = zip(*f(*cols), strict=True)
@@ -140,8 +168,6 @@ def running_total(df: DataFrame, order: list, amount: str, out: str) -> DataFram
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         at = base.get(TaskContext.get().partitionId(), 0)
         for b in batches:
             x = b.column(fixed_at).to_numpy(zero_copy_only=False).astype(np.int64)

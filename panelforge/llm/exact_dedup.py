@@ -22,8 +22,10 @@ Equal digests count as equal texts only if the length in bytes and an
 independent 64-bit hash agree too; otherwise the entries stay apart, at every
 level.
 
-The runs are narrow (about 100 bytes a row) and each level is checkpointed in the
-shared folder: a lost executor costs the tasks of one level.
+The digested rows are narrow (about 100 bytes a row) and checkpointed in the shared
+folder, which fixes their partitions; the levels above hang on shuffles alone, and
+the way down reads the same shuffles again. A lost executor costs the tasks
+whose shuffle output it had.
 
 Edge cases: null texts count as empty, and all texts of white space alone are
 one group; rows without an id come after those with one in the choice of the
@@ -104,13 +106,13 @@ def tree(rows: DataFrame, partitions: int, fan_bits: int = FAN_BITS) -> list[tup
     (id), r (row), n (count), in their input partitions.
     """
     last = max(0, partitions - 1).bit_length()
-    levels = [(0, cut(_merge(rows)))]
+    levels = [(0, _merge(rows))]
     while levels[-1][0] < last:
         bits, run = levels[-1]
         to = min(last, bits + fan_bits)
         moved = run.withColumn("c", _cell(F.shiftright(F.col("c"), to), to))
         cells = -(-partitions >> to) << to
-        levels.append((to, cut(_merge(moved.repartitionById(cells, "c")))))
+        levels.append((to, _merge(moved.repartitionById(cells, "c"))))
     return levels
 
 

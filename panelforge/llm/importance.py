@@ -41,13 +41,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROWS, append_columns, as_bytes, cut, fresh, running_total
+from .common import append_columns, as_bytes, cut, fresh, running_total, slices, small_batches
 
 BUCKETS = 10_000
 #: Bounds of the broadcast head, and of the entries that a summary of a partition holds.
 HEAD_WORDS, HEAD_PAIRS, SUMMARY = 8192, 32768, 1 << 17
-#: Bytes of text whose features are worked on at a time.
-SLICE_BYTES = 1 << 20
 _KEEP = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _NORMAL = bytes(b if b in _KEEP else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 _DDL = "kind int, word string, second string, n bigint"
@@ -177,19 +175,6 @@ class Head:
         return out
 
 
-def _slices(texts: list) -> Iterator[list]:
-    """Texts in groups of at most ``SLICE_BYTES`` (or one)."""
-    held, size = [], 0
-    for t in texts:
-        if held and size + len(t or b"") > SLICE_BYTES:
-            yield held
-            held, size = [], 0
-        held.append(t)
-        size += len(t or b"")
-    if held:
-        yield held
-
-
 def _prune(seen: Counter, most: int) -> Counter:
     """Misra-Gries: what is left after the count of the ``most``-th entry is taken from all."""
     if len(seen) <= most:
@@ -204,8 +189,8 @@ def find_head(docs: DataFrame, text: str = "text", words: int = HEAD_WORDS, pair
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = Counter(), Counter()
         for b in batches:
-            for at in range(0, b.num_rows, ROWS):
-                for t in as_bytes(b.column(0).slice(at, ROWS)):
+            for part in slices(b):
+                for t in as_bytes(part.column(0)):
                     w = words_of(t)
                     one.update(w)
                     two.update(zip(w, w[1:], strict=False))
@@ -232,11 +217,10 @@ def bucket_totals(texts: DataFrame, head, text: str = "text", buckets: int = BUC
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift, total = Shift(), np.zeros(buckets, dtype=np.int64)
         for b in batches:
-            for at in range(0, b.num_rows, ROWS):
-                for some in _slices(as_bytes(b.column(0).slice(at, ROWS))):
-                    split = [words_of(t) for t in some]
-                    for crc, _ in head.value.features([w for x in split for w in x], np.array([len(x) for x in split]), shift):
-                        total += np.bincount(crc % np.uint32(buckets), minlength=buckets)
+            for part in slices(b):
+                split = [words_of(t) for t in as_bytes(part.column(0))]
+                for crc, _ in head.value.features([w for x in split for w in x], np.array([len(x) for x in split]), shift):
+                    total += np.bincount(crc % np.uint32(buckets), minlength=buckets)
         own = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(total[own])], names=["bucket", "n"])
 
@@ -263,6 +247,7 @@ def noise(doc_id, seed: int) -> int:
 def resample(docs: DataFrame, target: DataFrame, percent: int = 5, min_words: int = 20, seed: int = 42, buckets: int = BUCKETS, doc_id: str = "doc_id", text: str = "text", target_text: str = "text", head_words: int = HEAD_WORDS, head_pairs: int = HEAD_PAIRS, drop: tuple = ()) -> DataFrame:
     """``docs`` (without the columns in ``drop``) plus n_features, weight, score and rank (1, 2, ... of the drawn, else null)."""
     spark: SparkSession = docs.sparkSession
+    small_batches(spark)
     head = spark.sparkContext.broadcast(find_head(docs, text, head_words, head_pairs))
     table = spark.sparkContext.broadcast(gains(bucket_totals(docs, head, text, buckets), bucket_totals(target, head, target_text, buckets)))
     enough, order, one, at = (fresh(docs, f"_{x}") for x in ("enough", "order", "one", "at"))
@@ -270,7 +255,7 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 5, min_words: in
     def work():
         shift = Shift()
 
-        def some(ids, texts):
+        def rows(ids, texts):
             split = [words_of(t) for t in texts]
             sizes = np.array([len(x) for x in split])
             weight, n = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
@@ -280,12 +265,6 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 5, min_words: in
                 n += np.bincount(own, minlength=len(texts))
             return [(f, w, w + noise(d, seed), s >= min_words) for d, f, w, s in zip(ids, n.tolist(), weight.tolist(), sizes.tolist(), strict=True)]
 
-        def rows(ids, texts):
-            done = 0
-            for group in _slices(texts):
-                yield from some(ids[done : done + len(group)], group)
-                done += len(group)
-
         return rows
 
     scored = cut(append_columns(docs, [doc_id, text], f"n_features bigint, weight bigint, score bigint, `{enough}` boolean", work, tuple(d for d in drop if d != doc_id)))
