@@ -203,9 +203,22 @@ def find_head(docs: DataFrame, text: str = "text", words: int = HEAD_WORDS, pair
             kind, word, second, n = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(word), pa.array(second), pa.array(n, pa.int64())], names=["kind", "word", "second", "n"])
 
-    found = cut(docs.select(F.col(text)).mapInArrow(run, _DDL)).groupBy("kind", "word", "second").agg(F.sum("n").alias("n"))
-    top = lambda kind, n: found.where(F.col("kind") == kind).orderBy(F.desc("n"), "word", "second").limit(n).collect()
-    return Head([r["word"].encode() for r in top(1, words)], [(r["word"].encode(), r["second"].encode()) for r in top(2, pairs)])
+    small_batches(docs.sparkSession)
+    merged = cut(docs.select(F.col(text)).mapInArrow(run, _DDL).groupBy("kind", "word", "second").agg(F.sum("n").alias("n")))
+    # a histogram of the counts gives the least count of a head of bounded size: what the driver gets doesn't grow with the partitions
+    level = F.floor(F.log2("n") * 64).cast("int")
+    histogram = merged.groupBy("kind", level.alias("level")).count().collect()
+    head = {}
+    for kind, most in ((1, words), (2, pairs)):
+        total, least = 0, None
+        for r in sorted((r for r in histogram if r["kind"] == kind), key=lambda r: -r["level"]):
+            total += r["count"]
+            if total > most:
+                break
+            least = r["level"]
+        own = [] if least is None else merged.where((F.col("kind") == kind) & (level >= least)).select("word", "second").collect()
+        head[kind] = sorted((r["word"].encode(), r["second"].encode()) for r in own)
+    return Head([w for w, _ in head[1]], head[2])
 
 
 # --- totals, gains, draw
