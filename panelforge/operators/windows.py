@@ -3,34 +3,37 @@
 Semantics are row-offset: ``lag(k)`` is the value k rows earlier in the
 entity's series ordered by time (NULL time last), not k calendar days earlier.
 Rolling frames look at the previous ``n`` rows and exclude the current one;
-partial frames are allowed and NULLs are skipped. All features are computed
-from one window specification in one ``select``, so Spark plans them as one
-Exchange, one Sort and one Window.
+partial frames are allowed and NULLs are skipped.
 
 Scale: a plain ``partitionBy(entity)`` sends a whole entity to one task, which
-breaks when one entity holds a large share of the rows. With ``chunk_days``
-(the default) rows are partitioned by (entity, time chunk) instead:
-
-1. one pass computes every feature inside its chunk plus the row's position;
-   rows at position >= ``reach`` (the longest look-back) are already exact;
-2. the first ``reach`` rows of each chunk are recomputed together with
-   "halo" copies of the ``reach`` rows that precede the chunk in the entity's
-   order (taken from earlier chunks; chunk starts come from a small prefix-sum
-   table), then the halo copies are dropped.
-
-The recomputed subset is at most ``reach`` rows per chunk (+ ``reach`` halo
-rows). The windowed pass is persisted and read by all three branches, so the
-full data is shuffled once and a hot entity is spread over many tasks. The
-result is identical to the unchunked window.
+breaks when one entity holds a large share of the rows. Here rows are range
+partitioned and sorted once by (entity, time, key), so an entity lies over as many
+partitions as it needs. What a partition lacks are the ``reach`` (longest look-back)
+rows before its first one: a small table of the last ``reach`` rows of every
+partition gives each its *carry*. Each partition is then read as a stream; a feature is
+computed for a whole Arrow batch at a time from shifted views of the carry and
+the batch, and the last ``reach`` rows go on as the carry of the next batch.
+
+So the source is read once and shuffled once, and memory is a batch plus
+``reach`` rows. The sorted rows are a reliable checkpoint: that fixes the
+partitions, which the carry belongs to, also when executors are lost. The carry
+table has at most (partitions x reach) rows of the columns used and is broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import fix_partitions
 
 NULL_CHUNK = 2_147_483_647  # chunk id of rows with a NULL time: after every real chunk
 
@@ -103,73 +106,174 @@ def _chunk_expr(time_col: str, chunk_days: int) -> Column:
     return F.coalesce(idx, F.lit(NULL_CHUNK))
 
 
+def window_features(df: DataFrame, entity: str, order_cols: list[str], features: list[Feature]) -> DataFrame:
+    """The same features as plain Spark windows: an entity is one task. For small panels and as the definition."""
+    w = Window.partitionBy(qcol(entity)).orderBy(*_order(order_cols))
+    return df.select(*[qcol(c) for c in df.columns], *[f.expr(w).alias(f.name) for f in features])
+
+
+class _Views:
+    """Shifted views of one column over a batch: the value ``k`` rows back in the same entity."""
+
+    def __init__(self, column: pa.Array, carried: int, place: np.ndarray):
+        self.column, self.carried, self.place = column, carried, place
+        self.floating = pa.types.is_floating(column.type)
+        self.valid = column.is_valid().to_numpy(zero_copy_only=False)
+        number = column.type if pa.types.is_floating(column.type) else pa.float64()
+        self.values = None
+        if pa.types.is_integer(column.type) or pa.types.is_floating(column.type) or pa.types.is_decimal(column.type):
+            self.values = column.cast(number, safe=False).fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64)
+
+    def rows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Indices of the rows ``k`` back, and where there is one."""
+        there = self.place >= k
+        return np.where(there, np.arange(len(self.place)) + self.carried - k, 0), there
+
+    def lag(self, k: int) -> pa.Array:
+        index, there = self.rows(k)
+        return self.column.take(pa.array(index, mask=~there))
+
+    def number(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Values (0 where there is none) and where there is a non-null one."""
+        index, there = self.rows(k)
+        there = there & self.valid[index]
+        return np.where(there, self.values[index], 0.0), there
+
+    def mean(self, n: int) -> pa.Array:
+        total, count = np.zeros(len(self.place)), np.zeros(len(self.place), dtype=np.int64)
+        for k in range(n, 0, -1):
+            x, there = self.number(k)
+            total += x
+            count += there
+        return pa.array(total / np.maximum(count, 1), mask=count == 0)
+
+    def std(self, n: int) -> pa.Array:
+        mean, squares, count = np.zeros(len(self.place)), np.zeros(len(self.place)), np.zeros(len(self.place))
+        for k in range(n, 0, -1):  # running moments, from the oldest row
+            x, there = self.number(k)
+            count += there
+            off = np.where(there, x - mean, 0.0)
+            step = off / np.maximum(count, 1)
+            mean += step
+            squares += off * (off - step)
+        return pa.array(np.sqrt(squares / np.maximum(count - 1, 1)), mask=count < 2)
+
+    def extreme(self, n: int, largest: bool) -> pa.Array:
+        if not self.floating:
+            views = [self.lag(k) for k in range(n, 0, -1)]
+            return (pc.max_element_wise if largest else pc.min_element_wise)(*views)
+        best, some = np.zeros(len(self.place)), np.zeros(len(self.place), dtype=bool)
+        for k in range(n, 0, -1):  # NaN is the largest number
+            x, there = self.number(k)
+            better = (x > best) | (np.isnan(x) & ~np.isnan(best)) if largest else (x < best) | (np.isnan(best) & ~np.isnan(x))
+            best = np.where(there & (~some | better), x, best)
+            some |= there
+        return pa.array(best, mask=~some).cast(self.column.type)
+
+    def median(self, n: int) -> pa.Array:
+        views = [self.number(k) for k in range(n)]
+        count = sum(there.astype(np.int64) for _, there in views)
+        ordered = np.sort(np.stack([np.where(there, x, np.nan) for x, there in views]), axis=0)  # those that are not there come last
+        at = np.arange(len(self.place))
+        low, high = np.maximum(count - 1, 0) // 2, np.minimum(count // 2, n - 1)
+        a, b = ordered[low, at], ordered[high, at]
+        return pa.array(0.5 * a + 0.5 * b, mask=count == 0)
+
+    def feature(self, f: Feature) -> pa.Array:
+        if f.kind == "lag":
+            return self.lag(f.n)
+        if f.kind == "change":
+            return pc.subtract(self.column.slice(self.carried), self.lag(1))
+        if f.kind == "median":
+            return self.median(f.n)
+        if f.kind in ("max", "min"):
+            return self.extreme(f.n, f.kind == "max")
+        return self.mean(f.n) if f.kind == "mean" else self.std(f.n)
+
+
+def _places(entity: pa.Array, carried: int) -> np.ndarray:
+    """Rows of the same entity before each row behind the carried ones, as far as carried rows tell."""
+    before, here = entity.slice(0, len(entity) - 1), entity.slice(1)
+    same = pc.equal(here, before).fill_null(False)
+    same = pc.or_(same, pc.and_(here.is_null(nan_is_null=True), before.is_null(nan_is_null=True)))
+    at = np.arange(len(entity))
+    start = np.maximum.accumulate(np.where(np.append(False, same.to_numpy(zero_copy_only=False)), 0, at))
+    return (at - start)[carried:]
+
+
+def _joined(first: pa.Array, second: pa.Array) -> pa.Array:
+    return pa.concat_arrays([first.cast(second.type), second]) if len(first) else second
+
+
+def _carries(ranged: DataFrame, entity: str, sources: list[str], reach: int) -> dict[int, pa.Table]:
+    """Of each partition with rows: the last ``reach`` rows before it (entity and source columns)."""
+    named = ranged.select(qcol(entity).alias("_e"), *[qcol(c).alias(f"_s{i}") for i, c in enumerate(sources)])
+    schema = T.StructType([T.StructField("_p", T.IntegerType()), T.StructField("_i", T.IntegerType()), *named.schema.fields])
+
+    def last_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            own = pa.Table.from_batches([pa.RecordBatch.from_arrays(b.columns, names=b.schema.names)])
+            held = own if held is None else pa.concat_tables([held, own])
+            held = held.slice(max(0, held.num_rows - reach))
+        if held is not None and held.num_rows:
+            n, held = held.num_rows, held.combine_chunks()
+            p = pa.array(np.full(n, TaskContext.get().partitionId(), dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([p, pa.array(np.arange(n, dtype=np.int32)), *[c.chunk(0) for c in held.columns]], names=schema.names)
+
+    tails = named.mapInArrow(last_rows, schema).toArrow().sort_by([("_p", "ascending"), ("_i", "ascending")])
+    out, recent = {}, tails.select(named.columns).slice(0, 0)
+    parts = tails.column("_p").to_numpy()
+    first = np.flatnonzero(np.append(len(parts) > 0, parts[1:] != parts[:-1]))
+    for a, b in zip(first, np.append(first[1:], len(parts)), strict=False):
+        out[int(parts[a])] = recent
+        recent = pa.concat_tables([recent, tails.select(named.columns).slice(a, b - a)])
+        recent = recent.slice(max(0, recent.num_rows - reach)).combine_chunks()
+    return out
+
+
 def add_window_features(df: DataFrame, entity: str, order_cols: list[str], features: list[Feature],
-                        chunk_days: int | None = 90) -> DataFrame:
+                        partitions: int | None = None) -> DataFrame:
     """Append ``features`` to ``df``; see the module docstring for the plan.
 
     ``order_cols`` must make the order within an entity total (time first).
+    ``partitions`` is the number of ranges (the session's shuffle partitions by default).
     """
     if not features:
         return df
-    cols = df.columns
-    order = _order(order_cols)
-    if chunk_days is None:
-        w = Window.partitionBy(qcol(entity)).orderBy(*order)
-        return df.select(*[qcol(c) for c in cols], *[f.expr(w).alias(f.name) for f in features])
-
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     reach = max(f.reach for f in features)
-    base = df.withColumn("_chunk", _chunk_expr(order_cols[0], chunk_days))
-    part = [qcol(entity), F.col("_chunk")]
-    w = Window.partitionBy(*part).orderBy(*order)
-    feats = [f.expr(w).alias(f.name) for f in features]
-    if reach == 0:
-        return base.select(*[qcol(c) for c in cols], *feats)
-
-    # one shuffle + sort + window of the full input; the exact rows, the chunk heads and
-    # the halo tails are all read from this one persisted result (lost blocks are
-    # recomputed from lineage)
-    main = base.select(
-        *[qcol(c) for c in cols],
-        F.col("_chunk"),
-        (F.row_number().over(w) - 1).alias("_idx"),
-        F.count(F.lit(1)).over(Window.partitionBy(*part)).alias("_n"),
-        *feats,
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    exact = main.where(F.col("_idx") >= reach).select(*[qcol(c) for c in cols], *[F.col(f.name) for f in features])
-
-    # chunk starts: exclusive prefix sum of chunk sizes within the entity (one row per chunk,
-    # from a map-side combined count of the input)
-    chunks = base.groupBy(qcol(entity).alias("_e"), F.col("_chunk").alias("_c")).agg(F.count(F.lit(1)).alias("_cn"))
-    chunks = chunks.withColumn(
-        "_start",
-        F.coalesce(
-            F.sum("_cn").over(Window.partitionBy("_e").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ),
-    )
-    starts = chunks.select(F.col("_e").alias("_se"), F.col("_c").alias("_target"), F.col("_start").alias("_stpos"))
-
-    # the last `reach` rows of each chunk are copied into every later chunk that starts
-    # within `reach` rows after them
-    tail = (
-        main.where(F.col("_n") - F.col("_idx") <= reach)
-        # null-safe: a NULL entity is a series too (and no IsNotNull filter gets pushed into this
-        # branch, so all three branches share one exchange of the input)
-        .join(chunks.select("_e", "_c", "_start"),
-              qcol(entity).eqNullSafe(F.col("_e")) & (F.col("_chunk") == F.col("_c")))
-        .withColumn("_pos", F.col("_start") + F.col("_idx"))
-        .withColumn("_tpos", F.explode(F.sequence(F.col("_pos") + 1, F.col("_pos") + reach)))
-        .join(starts, F.col("_e").eqNullSafe(F.col("_se")) & (F.col("_tpos") == F.col("_stpos")))
-        .select(*[qcol(c) for c in cols], F.col("_target").alias("_chunk"), F.lit(True).alias("_halo"))
-    )
-    head = main.where(F.col("_idx") < reach).select(*[qcol(c) for c in cols], "_chunk", F.lit(False).alias("_halo"))
-    fixed = (
-        head.unionByName(tail)
-        .select(*[qcol(c) for c in cols], "_halo", *feats)
-        .where(~F.col("_halo"))
-        .drop("_halo")
-    )
-    return exact.unionByName(fixed)
+    sources = list(dict.fromkeys(f.source for f in features))
+    keys = [qcol(entity).asc_nulls_first(), *_order(order_cols)]
+    ranged = fix_partitions(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
+    carries = spark.sparkContext.broadcast(_carries(ranged, entity, sources, reach) if reach else {})
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = window_features(df, entity, order_cols, features).schema
+    arrow = to_arrow_schema(schema)
+    entity_at, source_at = df.columns.index(entity), [df.columns.index(c) for c in sources]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carry = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            own = [b.column(entity_at), *[b.column(i) for i in source_at]]
+            if carry is None:
+                start = carries.value.get(TaskContext.get().partitionId())
+                carry = [c.chunk(0) for c in start.columns] if start is not None and start.num_rows else [x.slice(0, 0) for x in own]
+            carried = len(carry[0])
+            both = [_joined(x, y) for x, y in zip(carry, own, strict=True)]
+            place = _places(both[0], carried)
+            views = {c: _Views(x, carried, place) for c, x in zip(sources, both[1:], strict=True)}
+            made = [views[f.source].feature(f) for f in features]
+            columns = [x if x.type == t.type else x.cast(t.type) for x, t in zip([*b.columns, *made], arrow, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            carry = [x.slice(max(0, len(x) - reach)) for x in both]
+
+    return ranged.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, schema)  # names may have dots
 
 
 # ---------------------------------------------------------------------------
@@ -187,7 +291,7 @@ def standard_features(target: str, channel_lags: dict[str, list[int]] | None = N
 
 
 def threshold_crossings(df: DataFrame, entity: str, order_cols: list[str], col: str, limit: float,
-                        chunk_days: int | None = 90) -> DataFrame:
+                        partitions: int | None = None) -> DataFrame:
     """POL-10: rows where ``col`` crosses ``limit`` upwards (value >= limit, previous < limit)."""
-    out = add_window_features(df, entity, order_cols, [Feature("_prev", "lag", col, 1)], chunk_days)
+    out = add_window_features(df, entity, order_cols, [Feature("_prev", "lag", col, 1)], partitions)
     return out.where((qcol(col) >= limit) & (F.col("_prev") < limit)).withColumnRenamed("_prev", f"{safe_name(col)}_prev")

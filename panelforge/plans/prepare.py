@@ -69,7 +69,7 @@ def feature_panel(panel: DataFrame, spec: PanelSpec, opts: FeatureOptions,
     df = C.add_cyclical(df, "Month", "DayOfWeek")
     deltas = list(opts.change_cols) + ([spec.target] if opts.include_target_delta else [])
     feats = W.standard_features(spec.target, opts.channel_lags, deltas, opts.target_lags)
-    df = W.add_window_features(df, spec.entity, spec.order_cols, feats, opts.chunk_days)
+    df = W.add_window_features(df, spec.entity, spec.order_cols, feats)
     weights = dict(spec.index_weights)
     if weights:
         src = df

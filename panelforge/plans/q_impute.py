@@ -198,7 +198,7 @@ def long_lags(spark, sf):
     from ..operators import windows as W
 
     feats = W.lag_features({"q": [14, 30]}) + W.rolling_features("q", means=(14, 30), stats_n=None)
-    out = W.add_window_features(li_panel(spark, sf), "entity", ["day"], feats, chunk_days=20)
+    out = W.add_window_features(li_panel(spark, sf), "entity", ["day"], feats)
     return round_doubles(out.select("entity", "day", *[f.name for f in feats]))
 
 

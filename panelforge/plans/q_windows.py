@@ -146,7 +146,7 @@ def raw_lineitem_windows(spark, sf):
         W.Feature("l_extendedprice_roll_std_7", "std", "l_extendedprice", 7),
         W.Feature("l_quantity_change", "change", "l_quantity"),
     ]
-    out = W.add_window_features(li, "l_suppkey", ["l_shipdate", "l_orderkey", "l_linenumber"], feats, chunk_days=30)
+    out = W.add_window_features(li, "l_suppkey", ["l_shipdate", "l_orderkey", "l_linenumber"], feats)
     return round_doubles(out.select("l_suppkey", "l_orderkey", "l_linenumber", *[f.name for f in feats]))
 
 

@@ -8,7 +8,7 @@ tests on one machine -- may a caller pass a fallback.
 
 from __future__ import annotations
 
-import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,8 +68,20 @@ def cut_lineage(df: DataFrame, fallback: str | None = None) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def env_cpus(default: int = 8) -> int:
+def fix_partitions(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df`` in the session's shared folder: partitions, and the order of rows in them, stay as they are.
+
+    A folder of its own is made only on a one-machine master without the setting
+    (tests); on a cluster a missing ``spark.checkpoint.dir`` is an error. Constraint
+    propagation, exponential in wide aliased projections, is off meanwhile.
+    """
+    spark = df.sparkSession
+    if checkpoint_dir(spark) is None and spark.sparkContext.master.startswith("local["):
+        checkpoint_dir(spark, tempfile.mkdtemp(prefix="panelforge-ckpt-"))
+    key = "spark.sql.constraintPropagation.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
     try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
+        return cut_lineage(df)
+    finally:
+        spark.conf.set(key, before)

@@ -48,7 +48,7 @@ def expected_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.unionByName(r).distinct()
 
 
-def requests(spark: SparkSession, sf_dir: str, chunk_days: int | None = 90) -> DataFrame:
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Serving requests from the EV panel: today's measured channels as a map (NULL
     channels are simply absent), the previous 7 target values oldest first, and the
     previous channel scalars."""
@@ -59,7 +59,7 @@ def requests(spark: SparkSession, sf_dir: str, chunk_days: int | None = 90) -> D
         W.Feature("pm10_yesterday", "lag", "pm10", 1),
         W.Feature("co_yesterday", "lag", "co", 1),
     ]
-    p = W.add_window_features(p, "entity", ["day"], feats, chunk_days)
+    p = W.add_window_features(p, "entity", ["day"], feats)
     entries = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).alias("value")) for c in ("pm25", "pm10", "no2", "co")])
     present = F.filter(entries, lambda e: e["value"].isNotNull())
     return p.select(

@@ -1,4 +1,4 @@
-"""Window features: chunked (halo) plan == plain window == pandas, on edge panels."""
+"""Window features: ranges with carried rows == plain window == pandas, on edge panels."""
 
 import datetime as dt
 import math
@@ -63,10 +63,11 @@ def _rows(df):
     return sorted(tuple(_cell(x) for x in r) for r in df)
 
 
-@pytest.mark.parametrize("chunk", [None, 3, 10, 90])
-def test_chunked_equals_pandas(spark, chunk):
+@pytest.mark.parametrize("parts", [None, 1, 3, 10, 90])
+def test_ranges_equal_pandas(spark, parts):
     p = _panel(spark)
-    got = W.add_window_features(p, "e", ["d"], FEATS, chunk_days=chunk).toPandas()
+    made = W.add_window_features(p, "e", ["d"], FEATS, parts) if parts else W.window_features(p, "e", ["d"], FEATS)
+    got = made.toPandas()
     ref = _pandas_reference(p.toPandas())
     cols = ["e", "d", "v"] + [f.name for f in FEATS]
     a = _rows(got[cols].itertuples(index=False))
@@ -78,5 +79,42 @@ def test_chunked_equals_pandas(spark, chunk):
 def test_threshold_crossing(spark):
     p = spark.createDataFrame([(1, D0 + dt.timedelta(days=i), float(v)) for i, v in enumerate([1, 5, 2, 6, 6, 1, 9])],
                               "e int, d date, v double")
-    got = W.threshold_crossings(p, "e", ["d"], "v", 5.0, chunk_days=2).orderBy("d").select("v", "v_prev").collect()
+    got = W.threshold_crossings(p, "e", ["d"], "v", 5.0, 3).orderBy("d").select("v", "v_prev").collect()
     assert [(r.v, r.v_prev) for r in got] == [(5.0, 1.0), (6.0, 2.0), (9.0, 1.0)]
+
+
+@pytest.mark.parametrize(("parts", "batch"), [(1, 10_000), (1, 1), (7, 2), (40, 10_000)])
+def test_ranges_equal_plain_windows_of_any_type(spark, parts, batch):
+    """NULL entities and times, NaN, integers, decimals, dates, strings, repeated times; ranges and batches shorter than the look-back."""
+    rows = []
+    for i in range(80):
+        e = None if i % 9 == 0 else "hot" if i % 3 else f"e{i % 4}"
+        day = None if i % 13 == 0 else D0 + dt.timedelta(days=i // 2)
+        rows.append((e, day, i, None if i % 5 == 0 else i * 31 % 17, float("nan") if i % 23 == 0 else None if i % 6 == 0 else i * 7.5 % 11, f"s{i * 5 % 7}"))
+    p = spark.createDataFrame(rows, "e string, d date, k int, `v.1` int, x double, s string").withColumn("m", W.qcol("v.1").cast("decimal(10,2)"))
+    feats = W.lag_features({"v.1": [1, 9], "s": [2], "m": [1], "d": [3]}) + W.rolling_features("x") + W.rolling_features("v.1", (12,), 3) + W.change_features(["x", "v.1"])
+    feats += [W.Feature("x_med", "median", "x", 5), W.Feature("m_max", "max", "m", 4), W.Feature("s_min", "min", "x", 2), W.Feature("m_mean", "mean", "m", 2)]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, batch)
+        got = W.add_window_features(p.repartition(5), "e", ["d", "k"], feats, parts)
+        want = W.window_features(p, "e", ["d", "k"], feats)
+        assert got.schema == want.schema
+        assert sorted(map(_cell_row, got.collect())) == sorted(map(_cell_row, want.collect()))
+    finally:
+        spark.conf.set(key, before)
+    assert W.add_window_features(p.limit(0), "e", ["d", "k"], feats, parts).count() == 0
+
+
+def _cell_row(row):
+    return tuple((0, "nan") if isinstance(x, float) and math.isnan(x) else _cell(x) for x in row)
+
+
+def test_one_read_one_exchange_and_a_hot_entity_over_many_tasks(spark):
+    p = spark.range(4000).selectExpr("'hot' AS e", "id AS d", "cast(id AS double) AS v")
+    got = W.add_window_features(p, "e", ["d"], [W.Feature("v_lag_1", "lag", "v", 1)], 8)
+    sizes = [r["count"] for r in got.groupBy(W.F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 2000
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()  # the one exchange lies before the checkpoint
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
