@@ -1,188 +1,14 @@
-"""Imputation fitted on training rows (IMP-01..03, POL-01, POL-03).
-
-KNN imputation (IMP-01) follows the NaN-Euclidean k-nearest-neighbour rule:
-
-* distance between rows x, y over the columns present in both (the shared set S):
-  ``d = sqrt(p / |S| * sum_{i in S} (x_i - y_i)^2)`` (p = number of columns);
-* for a missing cell (x, j) the donors are training rows that have column j;
-  the value is the plain mean of the k nearest donors with a finite distance
-  (ties broken by the donor key); no such donor -> the training mean of j.
-
-Exact: receivers stay in their partitions and meet the donors in blocks of at
-most ``DONOR_BYTES``, one broadcast block after another. Within a block the
-distances of a batch of receivers are computed column by column in numpy, and
-each missing cell keeps its k nearest donors only, so a block emits at most k
-rows per cell; with more than one block those are merged by (distance, donor
-key). Nothing is approximated and no donor is left out, however far.
-The donor table is cut in the checkpoint folder.
-"""
+"""Imputation fitted on training rows (IMP-01..03 in ``knn``, POL-01, POL-03)."""
 
 from __future__ import annotations
 
-import uuid
-from dataclasses import dataclass
-
-import numpy as np
-import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import materialize  # noqa: F401  also used through this module
+from .knn import KnnModel, fit_knn, knn_transform  # noqa: F401
 from .windows import _chunk_expr, _order, qcol
 
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` as a Parquet table under the session's shared
-    ``spark.checkpoint.dir`` and read it back (survives executor loss; also avoids
-    ``Dataset.checkpoint``'s constraint rewrite, which is exponential for wide aliased
-    projections). Without a checkpoint folder (single-machine use) persist and count."""
-    base = checkpoint_dir(df.sparkSession)
-    if base:
-        path = f"{base.rstrip('/')}/panelforge-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
-
-
-@dataclass
-class KnnModel:
-    key: list[str]
-    cols: list[str]
-    k: int
-    donors: DataFrame  # _dk struct, d0..d{p-1}
-    means: dict[str, float | None]
-    n_donors: int
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return knn_transform(self, df)
-
-
-def fit_knn(train: DataFrame, key: list[str], cols: list[str], k: int = 5) -> KnnModel:
-    """IMP-01 fit: the donor table (materialised) and the training means."""
-    row = train.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(qcol(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    donors = materialize(train.select(
-        F.struct(*[qcol(c) for c in key]).alias("_dk"),
-        *[qcol(c).cast("double").alias(f"d{i}") for i, c in enumerate(cols)],
-    ))
-    return KnnModel(key, cols, k, donors, means={c: row[f"m{i}"] for i, c in enumerate(cols)}, n_donors=row["_n"])
-
-
-def knn_transform(model: KnnModel, df: DataFrame) -> DataFrame:
-    """IMP-01/02/03 apply: fill the NULL cells of ``model.cols``; other columns pass through."""
-    key, cols, p = model.key, model.cols, len(model.cols)
-    spark = df.sparkSession
-    # project first, then filter on the derived miss list: a NULL-test filter written over
-    # the aliased source columns makes Catalyst's alias-constraint inference exponential
-    recv = df.select(
-        F.struct(*[qcol(c) for c in key]).alias("_rk"),
-        *[qcol(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)],
-        F.filter(F.array(*[F.when(qcol(c).isNull(), F.lit(i)) for i, c in enumerate(cols)]),
-                 lambda v: v.isNotNull()).alias("_miss"),
-    ).where(F.size("_miss") > 0)
-    recv = materialize(recv)
-    key_type = recv.schema["_rk"].dataType.simpleString()
-    if model.n_donors == 0 or recv.isEmpty():
-        settled = spark.createDataFrame([], f"_rk {key_type}, _j int, _val double")
-    else:
-        settled = _knn_blocks(model, recv)
-
-    # cells without any finite-distance donor -> training mean
-    means = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(i), F.lit(model.means[c]).cast("double"))])
-    cells = recv.select("_rk", F.explode("_miss").alias("_j"))
-    filled = cells.join(settled, ["_rk", "_j"], "left").select(
-        "_rk", "_j", F.coalesce(F.col("_val"), F.try_element_at(means, F.col("_j"))).alias("_val")
-    )
-    per_row = filled.groupBy("_rk").agg(F.map_from_entries(F.collect_list(F.struct("_j", "_val"))).alias("_fill"))
-    keyed = df.withColumn("_rk", F.struct(*[qcol(c) for c in key]))
-    out = keyed.join(per_row, "_rk", "left")
-    return out.withColumns({
-        c: F.coalesce(qcol(c), F.try_element_at(F.col("_fill"), F.lit(i)).cast(df.schema[c].dataType))
-        for i, c in enumerate(cols)
-    }).drop("_rk", "_fill")
-
-
-#: Bytes of donor rows in one block (the side that is broadcast), and distances computed at a time.
-DONOR_BYTES, DISTANCES = 64 << 20, 400_000
-
-
-def _nearest(x: np.ndarray, y: np.ndarray, missing: list[list[int]], k: int):
-    """Per (receiver, missing column): (receiver, column, distance, donor) of the k nearest donors that have the column.
-
-    Donors come in key order, which breaks ties.
-    """
-    p = x.shape[1]
-    have_x, have_y = ~np.isnan(x), ~np.isnan(y)
-    x0, y_by = np.where(have_x, x, 0.0), np.ascontiguousarray(np.where(have_y, y, 0.0).T)
-    total, shared = np.zeros((len(x), len(y))), have_x.astype(float) @ have_y.T.astype(float)
-    d = np.empty_like(total)
-    whole_x, whole_y = have_x.all(axis=0), have_y.all(axis=0)
-    for i in range(p):
-        np.subtract(x0[:, i, None], y_by[i], out=d)
-        if not whole_x[i]:
-            d *= have_x[:, i, None]
-        if not whole_y[i]:
-            d *= have_y[None, :, i]
-        d *= d
-        total += d
-    with np.errstate(divide="ignore", invalid="ignore"):
-        dist = np.where(shared > 0, np.sqrt(p / shared * total), np.inf)
-    donors_of = {j: np.flatnonzero(have_y[:, j]) for j in {j for m in missing for j in m}}
-    for r, columns in enumerate(missing):
-        found: dict[bytes, tuple] = {}
-        for j in columns:
-            own = donors_of[j]
-            if not len(own):
-                continue
-            mark = own.tobytes() if len(columns) > 1 else b""
-            if mark not in found:  # columns that the same donors have share their neighbours
-                d = dist[r, own]
-                bound = np.partition(d, k - 1)[k - 1] if len(d) > k else np.inf
-                near = np.flatnonzero((d <= bound) & np.isfinite(d))
-                near = near[np.argsort(d[near], kind="stable")][:k]
-                found[mark] = (d[near], own[near])
-            for d, o in zip(*found[mark], strict=True):
-                yield r, j, d, o
-
-
-def _knn_blocks(model: KnnModel, recv: DataFrame) -> DataFrame:
-    """Settled cells (_rk, _j, _val) of all receivers."""
-    spark, k, p = recv.sparkSession, model.k, len(model.cols)
-    rows = max(1, DONOR_BYTES // (8 * (p + 4)))
-    blocks = max(1, -(-model.n_donors // rows))
-    key_type, donor_type = (df.schema[c].dataType.simpleString() for df, c in ((recv, "_rk"), (model.donors, "_dk")))
-    found = None
-    for block in range(blocks):
-        own = model.donors.where(F.pmod(F.xxhash64("_dk"), F.lit(blocks)) == block).orderBy("_dk").select("_dk", *[f"d{i}" for i in range(p)]).toArrow()
-        shared = spark.sparkContext.broadcast(own)
-
-        def run(batches, shared=shared):
-            donors = shared.value
-            keys = donors.column("_dk").combine_chunks()
-            y = np.column_stack([donors.column(f"d{i}").to_numpy() for i in range(p)]) if donors.num_rows else np.empty((0, p))
-            step = max(1, DISTANCES // max(1, len(y)))
-            for whole in batches:
-                for at in range(0, whole.num_rows, step):
-                    b = whole.slice(at, step)
-                    x = np.column_stack([b.column(f"x{i}").to_numpy(zero_copy_only=False) for i in range(p)])
-                    got = list(_nearest(x, y, b.column("_miss").to_pylist(), k))
-                    if got:
-                        r, j, d, o = zip(*got, strict=True)
-                        yield pa.RecordBatch.from_arrays(
-                            [b.column("_rk").take(pa.array(r)), pa.array(j, pa.int32()), pa.array(d, pa.float64()), keys.take(pa.array(o)), pa.array(y[list(o), list(j)], pa.float64())],
-                            names=["_rk", "_j", "_d", "_dk", "_y"])
-
-        part = recv.select("_rk", *[f"x{i}" for i in range(p)], "_miss").mapInArrow(run, f"_rk {key_type}, _j int, _d double, _dk {donor_type}, _y double")
-        part = materialize(part) if blocks > 1 else part
-        found = part if found is None else found.unionByName(part)
-    if blocks > 1:
-        w = Window.partitionBy("_rk", "_j").orderBy("_d", "_dk")
-        found = found.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-    return found.groupBy("_rk", "_j").agg(F.avg("_y").alias("_val"))
-
-
 # ---------------------------------------------------------------------------
 # Policy fills
 # ---------------------------------------------------------------------------

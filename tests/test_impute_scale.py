@@ -99,16 +99,15 @@ def test_json_records_skip_malformed_and_default_key(spark, tmp_path):
     assert report.first().corrupt_rows == 0 and good.count() == 1
 
 
-def test_knn_receivers_far_outside_and_donor_blocks(spark, monkeypatch):
-    """Donors b in 0..10, a = 2b; receivers far beyond them still get their true neighbours, also with many donor blocks."""
+def test_knn_receivers_far_outside_and_donor_blocks(spark):
+    """Donors b in 0..10, a = 2b; receivers far beyond them still get their true neighbours, also with many small buckets."""
     b = np.linspace(0, 10, 50)
     train = np.column_stack([2 * b, b, np.zeros(50), np.full(50, np.nan), np.arange(50) % 5])
     test = np.array([[np.nan, 200.0, 0, np.nan, 1], [np.nan, 150.0, 0, np.nan, 2], [np.nan, -90.0, 0, np.nan, 0]])
     cols = ["c0", "c1", "c2", "c3", "cal"]
     ref = brute_knn(train, test, 5)
-    for size in (I.DONOR_BYTES, 900):
-        monkeypatch.setattr(I, "DONOR_BYTES", size)
-        model = I.fit_knn(_frame(spark, train), ["e", "d"], cols, k=5)
+    for size in (256, 3):
+        model = I.fit_knn(_frame(spark, train), ["e", "d"], cols, k=5, bucket=size)
         got = model.transform(_frame(spark, test, offset=100)).orderBy("e").select(*cols).toPandas().to_numpy(dtype=float)
         assert np.allclose(got[:, 0], ref[:, 0])
 
@@ -117,3 +116,63 @@ def test_fill_keeps_null_entities(spark):
     rows = [(None, D0, 1.0), (None, D0 + dt.timedelta(days=1), None), (1, D0, 2.0)]
     got = I.ffill_bfill(spark.createDataFrame(rows, "e int, d date, v double"), "e", ["d"], ["v"]).collect()
     assert sorted(r.v for r in got) == [1.0, 1.0, 2.0]
+
+
+def _numbers(spark, arr, keys=None):
+    p = arr.shape[1]
+    rows = [(int(i if keys is None else keys[i]), *[None if math.isnan(v) else float(v) for v in r]) for i, r in enumerate(arr)]
+    return spark.createDataFrame(rows, T.StructType([T.StructField("e", T.IntegerType())] + [T.StructField(f"c{i}", T.DoubleType()) for i in range(p)]))
+
+
+def test_pruned_search_equals_brute_force_and_prunes(spark, monkeypatch):
+    """Many buckets and patterns, ties, a dense region split into shares, and far fewer distances than all pairs."""
+    from panelforge.operators import knn
+
+    monkeypatch.setattr(knn, "VISITS", 7)
+    monkeypatch.setattr(knn, "WIDE", 2)
+    rng = np.random.default_rng(3)
+    centre = rng.normal(0, 100, (12, 3))
+    train = np.column_stack([centre[rng.integers(0, 12, 900)] + rng.normal(0, 1, (900, 3)), rng.integers(0, 3, 900)]).round(1)
+    train[rng.random(train.shape) < 0.15] = np.nan
+    train[:5] = np.nan  # donors without any value
+    test = np.column_stack([centre[rng.integers(0, 12, 120)] + rng.normal(0, 1, (120, 3)), rng.integers(0, 3, 120)]).round(1)
+    test[rng.random(test.shape) < 0.3] = np.nan
+    test[0] = np.nan
+    test[1] = [1e6, np.nan, -1e6, 0.0]
+    cols = ["c0", "c1", "c2", "c3"]
+    model = knn.fit_knn(_numbers(spark, train), ["e"], cols, k=4, bucket=16)
+    got = model.transform(_numbers(spark, test)).orderBy("e").select(*cols).toPandas().to_numpy()
+    assert np.allclose(got, brute_knn(train, test, 4), rtol=1e-9, atol=1e-9)
+    assert len(model.directory.ids) > 30 and model.stats["compared"] < 0.35 * model.stats["all_pairs"]
+
+
+def test_knn_fills_rows_that_share_a_key_each_for_itself(spark):
+    rng = np.random.default_rng(4)
+    train, test = rng.normal(0, 5, (60, 3)), rng.normal(0, 5, (20, 3))
+    test[:, 1] = np.nan
+    model = I.fit_knn(_numbers(spark, train), ["e"], ["c0", "c1", "c2"], k=3)
+    got = sorted(map(tuple, model.transform(_numbers(spark, test, [7] * 20)).select("c0", "c1", "c2").collect()))
+    assert np.allclose(got, sorted(map(tuple, brute_knn(train, test, 3))))
+
+
+def test_bounds_never_exceed_distances():
+    from panelforge.operators import knn
+
+    rng = np.random.default_rng(5)
+    y = rng.normal(0, 10, (400, 5))
+    y[rng.random(y.shape) < 0.3] = np.nan
+    x = rng.normal(0, 10, (30, 5))
+    x[rng.random(x.shape) < 0.3] = np.nan
+    b = knn.Buckets.fit(y[:150], 400, 10, 1 << 16).of(y)  # placed on a part of the rows
+    ids = np.unique(b)
+    there = ~np.isnan(y)
+    column = lambda f: np.array([[f(y[b == i, c][there[b == i, c]]) if there[b == i, c].any() else np.nan for c in range(5)] for i in ids])
+    d = knn.Directory(ids, np.array([(b == i).sum() for i in ids]), np.array([there[b == i].sum(axis=0) for i in ids]), column(np.min), column(np.max))
+    bound, sure = d.bounds(x)
+    for r, row in enumerate(x):
+        for c, i in enumerate(ids):
+            for z in y[b == i]:
+                both = ~np.isnan(row) & ~np.isnan(z)
+                assert both.any() or not sure[r, c]
+                if both.any():
+                    assert bound[r, c] <= math.sqrt(5 / both.sum() * ((row - z)[both] ** 2).sum())
