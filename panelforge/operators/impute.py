@@ -53,16 +53,23 @@ def ffill_bfill(df: DataFrame, entity: str, order_cols: list[str], cols: list[st
 
 
 def monthly_median_fill(df: DataFrame, entity: str, time: str, cols: list[str]) -> DataFrame:
-    """POL-03: fill with the entity's median of that calendar month, then the entity's mean."""
+    """POL-03: fill with the entity's median of that calendar month, then the entity's mean.
+
+    Medians and means of all columns come from one ranking and one aggregate, and meet the rows in
+    one join each; rows that lack nothing take no part in them.
+    """
     from .quantiles import exact_quantiles_grouped
 
-    m = F.date_trunc("month", qcol(time)).cast("date")
-    base = df.withColumn("_m", m)
-    out = base
+    base = df.withColumn("_m", F.date_trunc("month", qcol(time)).cast("date"))
+    names = {c: f"_x{i}" for i, c in enumerate(cols)}
+    slim = base.select(qcol(entity).alias("_e"), "_m", *[qcol(c).alias(x) for c, x in names.items()])
+    medians = exact_quantiles_grouped(slim, ["_e", "_m"], list(names.values()), [0.5]).withColumnsRenamed({"_e": "_e1", "_m": "_m1"})
+    means = slim.groupBy(F.col("_e").alias("_e2")).agg(*[F.avg(x).alias(f"{x}_mean") for x in names.values()])
+    lacking = F.lit(False)
     for c in cols:
-        med = exact_quantiles_grouped(base, [entity, "_m"], c, [0.5]).withColumnRenamed("q0", f"_med_{c}")
-        mean = base.groupBy(entity).agg(F.avg(qcol(c)).alias(f"_mean_{c}"))
-        out = out.join(med, [entity, "_m"], "left").join(mean, entity, "left")
-        out = out.withColumn(c, F.coalesce(qcol(c), F.col(f"_med_{c}"), F.col(f"_mean_{c}"))).drop(
-            f"_med_{c}", f"_mean_{c}")
-    return out.drop("_m")
+        lacking = lacking | qcol(c).isNull()
+    out = base.where(lacking).join(medians, qcol(entity).eqNullSafe(F.col("_e1")) & F.col("_m").eqNullSafe(F.col("_m1")), "left")
+    out = out.join(means, qcol(entity).eqNullSafe(F.col("_e2")), "left")
+    filled = out.withColumns({c: F.coalesce(qcol(c), F.col(f"{x}_q0"), F.col(f"{x}_mean")) for c, x in names.items()})
+    whole = [qcol(c) for c in df.columns]
+    return filled.select(*whole).unionByName(base.where(~lacking).select(*whole))

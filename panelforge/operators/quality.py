@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import parse_date
 from ..spec import BUCKET_ORDER
-from .quantiles import exact_quantiles_grouped, quantile_columns
+from .quantiles import approx_quantiles, exact_quantiles_grouped, exact_quantiles_many, quantile_columns
 
 
 def _c(name: str) -> Column:
@@ -176,13 +176,12 @@ def category_frequency(df: DataFrame, col: str, order: list[str] | None = None,
 
 def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5, digits: int = 2, method: str = "exact") -> DataFrame:
     """AGG-10: Q1, Q3, IQR, fences and the strict-outside count (and % of non-NULL) per
-    column. Rows are never removed. Quartiles first, then one counting pass with the
+    column. Rows are never removed. Quartiles of all columns together first, then one counting pass with the
     fences as literals."""
     spark = df.sparkSession
-    rows = []
-    for c in cols:
-        q1, q3 = quantile_columns(df, c, [0.25, 0.75], method)
-        rows.append((c, q1, q3))
+    quartiles = [0.25, 0.75]
+    found = {c: approx_quantiles(df, c, quartiles) for c in cols} if method == "approx" else exact_quantiles_many(df, dict.fromkeys(cols, quartiles))
+    rows = [(c, *found[c]) for c in cols]
     aggs = []
     for i, (c, q1, q3) in enumerate(rows):
         if q1 is None:

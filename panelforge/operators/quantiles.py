@@ -1,156 +1,171 @@
 """Quantiles with linear interpolation (pandas / ``quantile_cont`` semantics).
 
-``method="exact"`` never gathers a whole column into one task. It selects the
-needed order statistics by iterative refinement:
-
-1. count the non-NULL values (n) and derive the ranks each probability needs;
-2. while a rank's candidate interval holds more than ``collect_max`` values,
-   one pass computes approximate cut points inside the interval
-   (``percentile_approx``, bounded memory, mergeable) and a second pass counts
-   the values per bucket between cuts (a ``groupBy`` over a binary-search
-   ``CASE`` tree); the rank's new interval is the bucket that contains it;
-3. when the interval is small, its values are fetched and the rank is read off.
-
-Each level shrinks an interval by roughly the number of cuts, so a column of
-10^12 values needs three or four levels; a bucket whose min equals its max is
-settled at once (heavy duplicates). ``method="approx"`` is a single
-``percentile_approx`` pass.
-
-Grouped quantiles rank each group's values with a range-partitioned sort and
-keep only the rows at the needed positions, so no group is gathered into one task.
+``exact_quantiles_many`` finds the quantiles of any number of columns together, in
+aggregates alone; no value list ever reaches the driver or meets in one task:
+
+1. one aggregate over the table gives each column's count, least and greatest value, and a
+   mergeable quantile sketch (``percentile_approx``), read a little below and above every
+   wanted probability: an interval for each;
+2. one aggregate counts the values below and inside each interval. An interval that
+   misses its rank (the sketch is approximate) is widened to the whole column;
+3. narrowing passes, all intervals in one: each is split into ``parts`` buckets, the values inside
+   are counted per bucket with their least and greatest, and the bucket that holds the rank,
+   shrunk to the values in it, is the next interval. It is settled when its least value is its
+   greatest. The buckets are of equal width; an interval that shrank too little is
+   split by sign or by logarithm next, so values of any magnitude settle in a few passes.
+
+Every pass gets at most (intervals x parts) rows, whatever the number of rows or of equal
+values, and does the same at every size.
+
+``method="approx"`` is a single ``percentile_approx`` pass. Grouped quantiles rank each
+group's values with a range-partitioned sort, all columns in one, and keep only
+the rows at the needed positions, so no group, and no run of equal values, is gathered into one task.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Buckets of an interval in a narrowing pass, and accuracy of the first sketch (relative rank error 1 / ACCURACY).
+PARTS, ACCURACY = 256, 10_000
+
 
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _bucket_case(v: Column, cuts: list[float]) -> Column:
-    """Index of the bucket (c_i, c_{i+1}] holding ``v``: number of cuts strictly below v,
-    as a balanced CASE tree (log2(len(cuts)) comparisons per row)."""
-
-    def build(lo: int, hi: int) -> Column:  # answer in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2  # is the answer <= mid?  <=> v <= cuts[mid]
-        return F.when(v <= F.lit(cuts[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-
-    return build(0, len(cuts))
-
-
-def _select_ranks(v: DataFrame, n: int, ranks: list[int], collect_max: int, n_cuts: int,
-                  accuracy: int) -> dict[int, float]:
-    # interval: (lo, hi] bounds (None = unbounded), count of values <= lo, size, ranks inside,
-    # and the (min, max) of its values when known (their midpoint is always used as a cut,
-    # so every round splits the interval even where approximate cuts do not)
-    pending = [(None, None, 0, n, sorted(set(ranks)), None)]
-    found: dict[int, float] = {}
-    while pending:
-        small = [iv for iv in pending if iv[3] <= collect_max]
-        big = [iv for iv in pending if iv[3] > collect_max]
-        pending = []
-
-        def inside(lo, hi) -> Column:
-            cond = F.lit(True)
-            if lo is not None:
-                cond = cond & (F.col("v") > F.lit(lo))
-            if hi is not None:
-                cond = cond & (F.col("v") <= F.lit(hi))
-            return cond
-
-        if small:
-            cond = None
-            for lo, hi, _, _, _, _ in small:
-                cond = inside(lo, hi) if cond is None else cond | inside(lo, hi)
-            vals = sorted(r[0] for r in v.where(cond).collect())
-            for lo, hi, below, _, rks, _ in small:
-                seg = [x for x in vals if (lo is None or x > lo) and (hi is None or x <= hi)]
-                for r in rks:
-                    found[r] = seg[r - below]
-        if not big:
-            continue
-        grid = [(i + 1) / (n_cuts + 1) for i in range(n_cuts)]
-        cut_aggs = [
-            F.percentile_approx(F.when(inside(lo, hi), F.col("v")), grid, accuracy).alias(f"c{i}")
-            for i, (lo, hi, _, _, _, _) in enumerate(big)
-        ]
-        cut_row = v.agg(*cut_aggs).first()
-        bucket_exprs, plans = [], []
-        for i, (lo, hi, below, size, rks, span) in enumerate(big):
-            cand = list(cut_row[f"c{i}"] or [])
-            if span is not None:
-                cand.append(span[0] + (span[1] - span[0]) / 2.0)
-            cuts = sorted({x for x in cand if (lo is None or x > lo) and (hi is None or x < hi)})
-            plans.append(cuts)
-            bucket_exprs.append(F.when(inside(lo, hi), F.struct(F.lit(i).alias("iv"),
-                                                                 _bucket_case(F.col("v"), cuts).alias("b"))))
-        tagged = v.select(F.coalesce(*bucket_exprs).alias("t"), "v").where(F.col("t").isNotNull())
-        stats = tagged.groupBy("t.iv", "t.b").agg(
-            F.count(F.lit(1)).alias("cnt"), F.min("v").alias("mn"), F.max("v").alias("mx")
-        ).collect()  # at most (#intervals x (n_cuts + 1)) rows
-        by_iv: dict[int, dict[int, tuple]] = {}
-        for r in stats:
-            by_iv.setdefault(r["iv"], {})[r["b"]] = (r["cnt"], r["mn"], r["mx"])
-        for i, (lo, hi, below, size, rks, _) in enumerate(big):
-            cuts = plans[i]
-            acc = below
-            buckets = by_iv.get(i, {})
-            for b in range(len(cuts) + 1):
-                cnt, mn, mx = buckets.get(b, (0, None, None))
-                in_b = [r for r in rks if acc <= r < acc + cnt]
-                if in_b:
-                    if mn == mx:
-                        for r in in_b:
-                            found[r] = mn
-                    else:
-                        blo = lo if b == 0 else cuts[b - 1]
-                        bhi = hi if b == len(cuts) else cuts[b]
-                        pending.append((blo, bhi, acc, cnt, in_b, (mn, mx)))
-                acc += cnt
-    return found
-
-
-def exact_quantiles(df: DataFrame, col: str | Column, probs: list[float], collect_max: int = 200_000,
-                    n_cuts: int = 255, accuracy: int = 100_000) -> list[float | None]:
-    c = _c(col) if isinstance(col, str) else col
-    # the refinement reads the column several times: keep the one projected column for the
-    # duration of the call (spills to disk when large; released before returning)
-    v = df.select(c.cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    v = v.persist(StorageLevel.MEMORY_AND_DISK)
+@dataclass
+class _Interval:
+    """Values of column ``i`` in [low, high] hold ``ranks``; ``below`` values are less than ``low``."""
+
+    i: int
+    low: float
+    high: float
+    ranks: list[int]
+    below: int = 0
+    count: int | None = None
+    scale: str = "even"
+
+    def inside(self, v: Column) -> Column:
+        return (v >= F.lit(self.low)) & (v <= F.lit(self.high))
+
+    def bucket(self, v: Column, parts: int) -> Column:
+        """Number of the bucket of a value inside, not decreasing in the value; ``low`` and ``high`` fall apart."""
+        low, high = self.low, self.high
+        if math.isinf(low) or math.isinf(high):
+            return F.when(v == F.lit(-math.inf), 0).when(v == F.lit(math.inf), 2).otherwise(1)
+        if self.scale == "uneven" and low <= 0 <= high:
+            return F.when(v < 0, 0).when(v > 0, 2).otherwise(1)
+        if self.scale == "uneven":
+            near, far = (low, high) if low > 0 else (-high, -low)
+            share = (F.log(v if low > 0 else -v) - F.log(F.lit(near))) / (F.log(F.lit(far)) - F.log(F.lit(near)))
+            share = share if low > 0 else 1 - share
+        else:
+            share = (v / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)  # halved: the width may exceed the largest double
+        at = F.greatest(F.lit(0), F.least(F.lit(parts - 1), F.floor(share * parts))).cast("int")
+        # logarithms of neighbouring doubles may be equal: the ends are told apart in any case
+        return F.when(v == F.lit(low), -1).when(v == F.lit(high), parts).otherwise(at)
+
+
+def _narrow(values: DataFrame, pending: list[_Interval], parts: int) -> tuple[list[_Interval], dict[tuple[int, int], float]]:
+    """One pass over all intervals: the next ones, and the values found by (column, rank)."""
+    v = [F.col(f"v{x.i}") for x in pending]
+    found = F.array(*[F.when(x.inside(c), F.struct(F.lit(k).alias("k"), x.bucket(c, parts).alias("b"), c.alias("v"))) for k, (x, c) in enumerate(zip(pending, v, strict=True))])
+    rows = values.select(F.explode(F.filter(found, lambda x: x.isNotNull())).alias("x")).select("x.*")
+    counts = rows.groupBy("k", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
+    of: dict[int, list] = {}
+    for r in sorted(counts, key=lambda r: (r["k"], r["b"])):
+        of.setdefault(r["k"], []).append(r)
+    left, settled = [], {}
+    for k, x in enumerate(pending):
+        below, total = x.below, sum(r["n"] for r in of[k])
+        for r in of[k]:
+            own = [q for q in x.ranks if below <= q < below + r["n"]]
+            if own and r["low"] == r["high"]:
+                settled |= {(x.i, q): r["low"] for q in own}
+            elif own:
+                poor = r["n"] > total / 4 and x.scale == "even"
+                left.append(_Interval(x.i, r["low"], r["high"], own, below, r["n"], "uneven" if poor else "even"))
+            below += r["n"]
+    return left, settled
+
+
+def exact_quantiles_many(df: DataFrame, wanted: dict[str, list[float]], parts: int = PARTS, accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns: column -> its values, in the order of its probabilities (None without values)."""
+    columns = list(wanted)
+    number = [_c(c).cast("double") for c in columns]
+    # the passes read the projected columns several times: kept for the duration of the call
+    # (recomputed where an executor is lost, spilled when large), released before returning
+    values = df.select(*[F.when(~F.isnan(v), v).alias(f"v{i}") for i, v in enumerate(number)]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _exact(v, probs, collect_max, n_cuts, accuracy)
+        return _many(values, columns, wanted, parts, accuracy)
     finally:
-        v.unpersist()
-
-
-def _exact(v: DataFrame, probs, collect_max, n_cuts, accuracy):
-    n = v.count()
-    if n == 0:
-        return [None] * len(probs)
-    plan = []
-    ranks = []
-    for p in probs:
-        pos = p * (n - 1)
-        lo = math.floor(pos)
-        hi = min(lo + 1, n - 1)
-        plan.append((lo, hi, pos - lo))
-        ranks += [lo, hi]
-    got = _select_ranks(v, n, ranks, collect_max, n_cuts, accuracy)
-    out = []
-    for lo, hi, frac in plan:
-        a, b = got[lo], got[hi]
-        out.append(a + (b - a) * frac if frac else a)
+        values.unpersist()
+
+
+def _many(values: DataFrame, columns: list[str], wanted: dict[str, list[float]], parts: int, accuracy: int) -> dict[str, list[float | None]]:
+    margin = 2.0 / accuracy
+    first = []
+    for i, c in enumerate(columns):
+        grid = [min(1.0, max(0.0, p + s)) for p in wanted[c] for s in (-margin, margin)]
+        sketch = F.percentile_approx(f"v{i}", grid, accuracy) if grid else F.lit(None).cast("array<double>")
+        first.append(F.struct(F.count(f"v{i}").alias("n"), F.min(f"v{i}").alias("low"), F.max(f"v{i}").alias("high"), sketch.alias("q")).alias(f"s{i}"))
+    row = values.agg(*first).first()
+    places: dict[str, list[tuple[int, int, float]]] = {}
+    pending: list[_Interval] = []
+    for i, c in enumerate(columns):
+        s = row[f"s{i}"]
+        places[c] = []
+        if not s["n"]:
+            continue
+        merged: dict[tuple[float, float], set[int]] = {}
+        for k, p in enumerate(wanted[c]):
+            at = p * (s["n"] - 1)
+            low = math.floor(at)
+            high = min(low + 1, s["n"] - 1)
+            places[c].append((low, high, at - low))
+            # the position above may lie one value further than the sketch was asked for; counting tells
+            merged.setdefault((s["q"][2 * k], s["q"][2 * k + 1]), set()).update((low, high))
+        pending += [_Interval(i, a, b, sorted(ranks)) for (a, b), ranks in merged.items()]
+    found: dict[tuple[int, int], float] = {}
+    if pending:
+        counted = values.agg(*[F.count_if(F.col(f"v{x.i}") < F.lit(x.low)).alias(f"a{k}") for k, x in enumerate(pending)], *[F.count_if(F.col(f"v{x.i}") <= F.lit(x.high)).alias(f"b{k}") for k, x in enumerate(pending)]).first()
+        checked: list[_Interval] = []
+        for k, x in enumerate(pending):
+            below, upto = counted[f"a{k}"], counted[f"b{k}"]
+            own = [r for r in x.ranks if below <= r < upto]
+            rest = [r for r in x.ranks if not below <= r < upto]
+            s = row[f"s{x.i}"]
+            if own:
+                checked.append(_Interval(x.i, x.low, x.high, own, below))
+            if rest:
+                checked.append(_Interval(x.i, s["low"], s["high"], rest))
+        pending = []
+        for x in checked:
+            if x.low == x.high:
+                found |= {(x.i, r): x.low for r in x.ranks}
+            else:
+                pending.append(x)
+    while pending:
+        pending, more = _narrow(values, pending, parts)
+        found |= more
+    out: dict[str, list[float | None]] = {}
+    for i, c in enumerate(columns):
+        out[c] = [None] * len(wanted[c]) if not places[c] else [found[i, a] + (found[i, b] - found[i, a]) * f if f else found[i, a] for a, b, f in places[c]]
     return out
 
 
+def exact_quantiles(df: DataFrame, col: str | Column, probs: list[float], parts: int = PARTS, accuracy: int = ACCURACY) -> list[float | None]:
+    if not isinstance(col, str):
+        df, col = df.select(col.alias("v")), "v"
+    return exact_quantiles_many(df, {col: list(probs)}, parts, accuracy)[col]
+
+
 def approx_quantiles(df: DataFrame, col: str, probs: list[float], accuracy: int = 10_000) -> list[float | None]:
     r = df.agg(F.percentile_approx(_c(col).cast("double"), list(probs), accuracy).alias("q")).first()["q"]
     return list(r) if r is not None else [None] * len(probs)
@@ -162,34 +177,46 @@ def quantile_columns(df: DataFrame, col: str, probs: list[float], method: str =
     return exact_quantiles(df, col, probs)
 
 
-def exact_quantiles_grouped(df: DataFrame, keys: list[str], col: str, probs: list[float]) -> DataFrame:
-    """Per-group linear-interpolated quantiles as columns q0, q1, ...
+def exact_quantiles_grouped(df: DataFrame, keys: list[str], cols: str | list[str], probs: list[float]) -> DataFrame:
+    """Per-group linear-interpolated quantiles as columns q0, q1, ... (several columns: ``<column>_q0``, ...).
 
-    Values are ranked inside each group by a range-partitioned sort (``global_rank``),
-    so a group holding a large share of the rows is spread over many tasks; only the rows
-    at the needed positions (two per probability and group) are kept and combined.
+    Values of all columns are ranked inside each (group, column) by one range-partitioned sort
+    (``global_rank``), with a row number behind the value, so that neither a large group nor many equal
+    values stay together; only the rows at the needed positions (two per probability) are kept and combined.
     """
     from .ordering import global_rank
 
-    v = _c(col).cast("double")
-    base = df.select(*[_c(k) for k in keys], v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = global_rank(base, [F.col("_v").asc()], "_r", group=keys)
+    one = isinstance(cols, str)
+    names = [cols] if one else list(cols)
+    number = [_c(c).cast("double") for c in names]
+    cells = F.array(*[F.when(v.isNotNull() & ~F.isnan(v), F.struct(F.lit(k).alias("_c"), v.alias("_v"))) for k, v in enumerate(number)])
+    base = df.select(*[_c(k) for k in keys], F.monotonically_increasing_id().alias("_t"), F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("_x")).select(*keys, "_t", "_x.*")
+    ranked = global_rank(base, [F.col("_v").asc(), F.col("_t").asc()], "_r", group=[*keys, "_c"])
+    counts = ranked.groupBy(*keys, "_c").agg(F.count(F.lit(1)).alias("_n"))
     need = []
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("_n") - 1)
         lo = F.floor(pos).cast("long")
-        need.append(F.struct(F.lit(i).alias("i"), (lo + 1).alias("lo"),
-                             F.least(lo + 2, F.col("_n")).alias("hi"), (pos - lo).alias("frac")))
-    plan = counts.select(*keys, F.explode(F.array(*need)).alias("_q")).select(*keys, "_q.*")
-    hits = ranked.join(plan, keys).where((F.col("_r") == F.col("lo")) | (F.col("_r") == F.col("hi")))
-    per = hits.groupBy(*keys, "i").agg(
+        need.append(F.struct(F.lit(i).alias("i"), (lo + 1).alias("lo"), F.least(lo + 2, F.col("_n")).alias("hi"), (pos - lo).alias("frac")))
+    plan = counts.select(*keys, "_c", F.explode(F.array(*need)).alias("_q")).select(*keys, "_c", "_q.*")
+    same = F.lit(True)
+    plan = plan.withColumnsRenamed({k: f"_k{n}" for n, k in enumerate(keys)} | {"_c": "_c2"})
+    for n, k in enumerate(keys):  # NULL is a group of its own
+        same = same & _c(k).eqNullSafe(F.col(f"_k{n}"))
+    at = (F.col("_r") == F.col("lo")) | (F.col("_r") == F.col("hi"))
+    hits = ranked.join(plan, same & (F.col("_c") == F.col("_c2"))).where(at)
+    per = hits.groupBy(*keys, "_c", "i").agg(
         F.max(F.when(F.col("_r") == F.col("lo"), F.col("_v"))).alias("a"),
         F.max(F.when(F.col("_r") == F.col("hi"), F.col("_v"))).alias("b"),
         F.first("frac").alias("frac"),
     )
     val = F.when(F.col("frac") == 0, F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("frac"))
-    wide = per.groupBy(*keys).agg(*[F.max(F.when(F.col("i") == i, val)).alias(f"q{i}") for i in range(len(probs))])
+    made = [((k, i), f"q{i}" if one else f"{c}_q{i}") for k, c in enumerate(names) for i in range(len(probs))]
+    wide = per.groupBy(*keys).agg(*[F.max(F.when((F.col("_c") == k) & (F.col("i") == i), val)).alias(name) for (k, i), name in made])
     # groups whose values are all NULL still get a row (NULL quantiles)
-    allg = df.select(*[_c(k) for k in keys]).distinct()
-    return allg.join(wide, keys, "left")
+    every = df.select(*[_c(k) for k in keys]).distinct()
+    wide = wide.withColumnsRenamed({k: f"_k{n}" for n, k in enumerate(keys)})
+    same = F.lit(True)
+    for n, k in enumerate(keys):
+        same = same & _c(k).eqNullSafe(F.col(f"_k{n}"))
+    return every.join(wide, same, "left").select(*[_c(k) for k in keys], *[_c(name) for _, name in made])
