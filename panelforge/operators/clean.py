@@ -43,6 +43,22 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     )
 
 
+def duplicate_sample(df: DataFrame, n: int = 10) -> DataFrame:
+    """SET-02: the ``n`` largest groups of equal rows with their size, ties by the columns in order."""
+    groups = df.groupBy(*[_c(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    return groups.orderBy(F.col("copies").desc(), *[_c(c).asc_nulls_first() for c in df.columns]).limit(n)
+
+
+def distinct_entities(df: DataFrame, entity: str) -> DataFrame:
+    """SET-08: distinct entities that are not NULL."""
+    return df.select(_c(entity)).where(_c(entity).isNotNull()).distinct()
+
+
+def preview(df: DataFrame, order: list[str], n: int = 10) -> DataFrame:
+    """SRT-07: the first ``n`` rows along ``order`` (each task keeps its first ``n``)."""
+    return df.orderBy(*[_c(c).asc_nulls_last() for c in order]).limit(n)
+
+
 def drop_columns(df: DataFrame, *cols: str) -> DataFrame:
     """PRJ-01: drop the columns that exist (absent ones are ignored)."""
     return df.drop(*[c for c in cols if c in df.columns])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_bands, q_clean, q_impute, q_models, q_quality, q_rank, q_stream, q_windows  # noqa: F401  (registers queries)
+from . import q_bands, q_clean, q_impute, q_ledger, q_models, q_quality, q_rank, q_stream, q_windows  # noqa: F401  (registers queries)
 from .registry import ORACLE, QUERIES
 
 

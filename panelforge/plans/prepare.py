@@ -21,6 +21,7 @@ from ..operators import impute as I
 from ..operators import scale as SC
 from ..operators import split as SP
 from ..operators import windows as W
+from ..operators.ledger import Ledger
 from ..spec import PanelSpec
 
 NON_FEATURE = ("split",)
@@ -89,21 +90,26 @@ def numeric_columns(df: DataFrame, exclude) -> list[str]:
 
 def prepare(panel: DataFrame, spec: PanelSpec, cutoffs: tuple[str, str, str], opts: FeatureOptions | None = None,
             k: int = 5, no_scale=("IsWeekend", "in_period", "Year"), suffix: str = "_s",
-            impute: str = "knn") -> Prepared:
+            impute: str = "knn", ledger: Ledger | None = None) -> Prepared:
     """``impute="knn"`` is the pipeline's KNN imputation; ``impute="ffill"`` fills each
-    series forward then backward (POL-01) and falls back to the training mean."""
+    series forward then backward (POL-01) and falls back to the training mean.
+    With a ``ledger`` the panel, the features, the split and the imputed table are written as its stages."""
     opts = opts or FeatureOptions()
+    if ledger:
+        panel = ledger.run("load", panel)
     feats = feature_panel(panel, spec, opts, cutoffs)
+    if ledger:
+        feats = ledger.run("features", feats)
     feats = CL.drop_null_target(feats, spec.target)  # FLT-01
     split = SP.chronological_split(feats, spec.time, cutoffs)  # SET-04
-    split = I.materialize(split)
+    split = ledger.run("split", split) if ledger else I.materialize(split)
     SP.check_splits(SP.split_counts(split))  # VAL-13
     exclude = {spec.entity, *spec.placeholders, spec.target, *NON_FEATURE}
     imp_cols = [c for c in numeric_columns(split, exclude) if c not in (spec.time,)]
     train = split.where("split = 'train'")
     if impute == "knn":
         knn = I.fit_knn(train, [spec.entity, spec.time], imp_cols, k=k)  # IMP-01 fit
-        imputed = I.materialize(knn.transform(split))  # IMP-01/02 apply
+        filled = knn.transform(split)  # IMP-01/02 apply
     else:
         knn = None
         means = train.agg(*[F.avg(F.col(f"`{c}`")).alias(c) for c in imp_cols]).first()
@@ -111,7 +117,8 @@ def prepare(panel: DataFrame, spec: PanelSpec, cutoffs: tuple[str, str, str], op
         parts = [I.ffill_bfill(split.where(F.col("split") == name), spec.entity, spec.order_cols, imp_cols, opts.chunk_days or 90)
                  for name in SP.SPLITS]
         filled = parts[0].unionByName(parts[1]).unionByName(parts[2])
-        imputed = I.materialize(filled.fillna({c: means[c] for c in imp_cols if means[c] is not None}))
+        filled = filled.fillna({c: means[c] for c in imp_cols if means[c] is not None})
+    imputed = ledger.run("impute", filled) if ledger else I.materialize(filled)
     scale_cols = [c for c in imp_cols if c not in set(no_scale)]  # PRJ-04
     params = SC.fit_scaler(imputed.where("split = 'train'"), scale_cols)  # SCL-01
     data = SC.apply_scaler(imputed, params, suffix=suffix)
