@@ -5,9 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import materialize
+from ..sources.sinks import BatchSink, KeyedTable
 from ..sources.tables import ev_panel, table
 from ..streaming import pipeline as P
-from .registry import query
+from .q_windows import EV
+from .registry import query, round_doubles
 
 _SENSOR_OF = {"click": "pm25", "view": "pm10", "purchase": "no2", "error": "co", "signup": "o3"}
 
@@ -30,28 +33,70 @@ def event_payloads(spark, sf):
     return ev.select(F.to_json(F.struct(city.alias("city"), F.array(station).alias("results"))).alias("value"))
 
 
-@query("stream_daily")
+_DAILY_SQL = """
+WITH e AS (SELECT 'E' || (user_id % 26) AS city, user_id, ts, event_type, round(any_value(value), 2) AS v
+  FROM events GROUP BY user_id, ts, event_type),
+r AS (SELECT city, CAST(ts AS DATE) AS day,
+  CASE event_type WHEN 'click' THEN 'pm25' WHEN 'view' THEN 'pm10' WHEN 'purchase' THEN 'no2' WHEN 'error' THEN 'co' WHEN 'signup' THEN 'o3' END AS sensor,
+  CASE WHEN event_type = 'click' AND v = 0 THEN NULL ELSE v END AS v FROM e)
+SELECT city, day, sensor, count(v) AS readings, round(avg(v), 6) AS mean, round(max(v), 6) AS max
+FROM r WHERE sensor IS NOT NULL AND v IS NOT NULL GROUP BY ALL
+"""
+
+
+@query("stream_daily", _DAILY_SQL)
 def stream_daily(spark, sf):
-    """STR-01/02: landed station reports -> deduplicated readings -> daily aggregates per city and
-    sensor (update mode; the latest emitted row per (city, day, sensor) is the result)."""
+    """STR-01/02: landed station reports -> readings, one per (station, time, sensor) -> daily aggregates per city and
+    sensor (update mode through the exactly-once sink; the latest emitted row per (city, day, sensor) is the result)."""
     land, out, ckpt = P.scratch(spark, "land"), P.scratch(spark, "daily"), P.scratch(spark, "ckpt")
     event_payloads(spark, sf).write.mode("overwrite").text(land)
-    agg = P.daily_sensor_aggregates(P.station_stream(spark, land), "city")
-    P.run_available_now(agg, out, ckpt, "update", P.upsert_batches(out))
-    return P.latest_rows(spark, out, ["city", "day", "sensor"])
+    agg = P.daily_sensor_aggregates(P.sensor_stream(spark, land), "city", 6)  # means of few readings lie on ties at one digit
+    sink = BatchSink(spark, out)
+    P.run_available_now(agg, out, ckpt, "update", sink.foreach_batch())
+    return P.latest_rows(sink.read(), ["city", "day", "sensor"])
+
+
+_FEATURES_SQL = EV + """
+SELECT entity, day, round(aqi, 6) AS aqi, round(lag(aqi, 1) OVER w, 6) AS aqi_lag_1, round(lag(aqi, 2) OVER w, 6) AS aqi_lag_2,
+  round(lag(aqi, 3) OVER w, 6) AS aqi_lag_3, round(lag(aqi, 7) OVER w, 6) AS aqi_lag_7,
+  round(avg(aqi) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 6) AS aqi_roll_mean_3,
+  round(avg(aqi) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS aqi_roll_mean_7,
+  round(stddev_samp(aqi) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS aqi_roll_std_7,
+  round(max(aqi) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS aqi_roll_max_7,
+  round(min(aqi) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS aqi_roll_min_7
+FROM p WINDOW w AS (PARTITION BY entity ORDER BY day)
+"""
 
 
-@query("stream_features")
+@query("stream_features", _FEATURES_SQL)
 def stream_features(spark, sf):
-    """STR-03: per-entity lag / rolling features from a file stream of daily panel rows,
-    landed week by week, with the last 7 values per entity as state."""
+    """STR-03: per-entity lag / rolling features from a file stream of daily panel rows: the older half lands and is
+    taken, then the newer half and a closing row that moves the watermark past the last day; the stream goes on from its checkpoint."""
     land, out, ckpt = P.scratch(spark, "panel"), P.scratch(spark, "feat"), P.scratch(spark, "ckpt")
-    panel = ev_panel(spark, sf).select("entity", "day", "aqi")
-    week = F.date_trunc("week", "day")
-    weeks = [r[0] for r in panel.select(week.alias("w")).distinct().orderBy("w").collect()]
-    for w in weeks:  # land in time order; each file holds whole entities of one week
-        panel.where(week == F.lit(w)).repartition(4, "entity").write.mode("append").parquet(land)
-    src = spark.readStream.schema(panel.schema).option("maxFilesPerTrigger", 4).parquet(land)
-    feats = P.stateful_features(src, "entity", "day", "aqi")
-    P.run_available_now(feats, out, ckpt, "append")
-    return spark.read.parquet(out)
+    panel = materialize(ev_panel(spark, sf).select("entity", "day", "aqi"))
+    first, last = panel.agg(F.min("day"), F.max("day")).first()
+    half = first + (last - first) / 2
+    closing = spark.range(1).select(F.lit(None).cast(panel.schema["entity"].dataType).alias("entity"), F.date_add(F.lit(last), 30).alias("day"), F.lit(None).cast("double").alias("aqi"))
+    for part in (panel.where(F.col("day") <= F.lit(half)), panel.where(F.col("day") > F.lit(half)).unionByName(closing)):
+        part.write.mode("append").parquet(land)
+        src = spark.readStream.schema(panel.schema).parquet(land)
+        P.run_available_now(P.stateful_features(src, "entity", "day", "aqi"), out, ckpt, "append")
+    return round_doubles(spark.read.parquet(out).where("kind = 'features'").drop("kind"))
+
+
+_LATEST_SQL = """
+SELECT o_custkey, max_by(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey, CAST(max(o_orderdate) AS DATE) AS o_orderdate,
+  round(max_by(o_totalprice, (o_orderdate, o_orderkey)), 6) AS o_totalprice
+FROM orders GROUP BY o_custkey
+"""
+
+
+@query("latest_upsert", _LATEST_SQL)
+def latest_upsert(spark, sf):
+    """SNK-09 / SRV-03: the latest order of each customer, kept by upserts: all orders but the last years', then those."""
+    table_ = KeyedTable(spark, P.scratch(spark, "latest"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice")
+    new = F.year("o_orderdate") >= 1998
+    table_.upsert(o.where(~new))
+    table_.upsert(o.where(new))
+    return round_doubles(table_.read())
