@@ -12,7 +12,8 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .metrics import regression_metrics
+from .split import SPLITS
 
 SEED = 42
 
@@ -136,11 +138,15 @@ class TrainResult:
     scored: DataFrame
     metrics: DataFrame
     metadata: dict
+    pred_time_s: dict[str, float] = field(default_factory=dict)
 
 
 def train_one(spec: ModelSpec, data: DataFrame, label: str, features: list[str], scaled_features: list[str],
               split_col: str = "split") -> TrainResult:
-    """ML-08/09: fit on the train split, score every split once, compute metrics."""
+    """ML-08/09: fit on the train split, score every split once, compute metrics.
+
+    Prediction is timed per split: one pass of the model over all rows of the split.
+    """
     feats = scaled_features if spec.uses_scaled else features
     assembled = assemble(data, feats)
     train = assembled.where(F.col(split_col) == "train")
@@ -150,15 +156,23 @@ def train_one(spec: ModelSpec, data: DataFrame, label: str, features: list[str],
     fit_s = time.perf_counter() - t0
     scored = model.transform(assembled).withColumn("model", F.lit(spec.name))
     metrics = regression_metrics(scored, label, "prediction", by=("model", split_col))
+    times, rows = {}, {}
+    for name in SPLITS:
+        t0 = time.perf_counter()
+        rows[name] = scored.where(F.col(split_col) == name).agg(F.count(F.lit(1)).alias("n"), F.sum("prediction")).first()["n"]
+        times[name] = time.perf_counter() - t0
     meta = {
         "model_name": spec.name,
+        "timestamp": datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%S"),
         "n_features": len(feats),
+        "training_rows": rows["train"],
         "hyperparameters": param_map(model),
         "train_time_s": fit_s,
+        "prediction_time_s": times["validation"],
         "random_state": SEED,
         "uses_scaled_data": spec.uses_scaled,
     }
-    return TrainResult(spec.name, model, spec.uses_scaled, fit_s, scored, metrics, meta)
+    return TrainResult(spec.name, model, spec.uses_scaled, fit_s, scored, metrics, meta, times)
 
 
 def train_all(registry: list[ModelSpec], data: DataFrame, label: str, features: list[str],
@@ -187,7 +201,15 @@ def metrics_records(results: list[TrainResult], split_col: str = "split") -> Dat
     )
     spark = m.sparkSession
     info = spark.createDataFrame(
-        [(r.name, r.uses_scaled, float(r.train_time_s)) for r in results],
-        "model string, uses_scaled boolean, train_time_s double",
+        [(r.name, r.uses_scaled, float(r.train_time_s), *[float(r.pred_time_s[x]) for x in SPLITS]) for r in results],
+        "model string, uses_scaled boolean, train_time_s double, " + ", ".join(f"{x}_pred_time double" for x in SPLITS),
     )
     return wide.join(info, "model")
+
+
+def metadata_records(spark, results: list[TrainResult]) -> DataFrame:
+    """ML-10: one metadata row per trained model."""
+    schema = ("model_name string, timestamp string, n_features int, training_rows int, hyperparameters map<string,string>, "
+              "train_time_s double, prediction_time_s double, random_state int, uses_scaled_data boolean")
+    names = [f.split()[0] for f in schema.replace("map<string,string>", "map").split(", ")]
+    return spark.createDataFrame([tuple(r.metadata[n] for n in names) for r in results], schema)

@@ -14,6 +14,10 @@ from .registry import query
 from .serve import ServingArtefacts, score_requests
 
 
+#: A day's quantity of a nation that no request may exceed.
+LI_HISTORY_MAX = 1e6
+
+
 def _prepared(spark, sf):
     return prepared_li(spark, sf, impute="knn")
 
@@ -61,7 +65,7 @@ def li_requests(spark, sf):
                      f.name.startswith("_h")])
     return p.select(
         "entity", F.col("day").cast("string").alias("date"),
-        F.map_from_entries(F.filter(chan, lambda e: e["v"].isNotNull())).alias("channels"),
+        F.map_from_entries(chan).alias("channels"),  # a channel without a reading is there, with NULL
         F.array(*[F.col(f"_h{k}") for k in range(7, 0, -1)]).alias("target_history"),
         F.map_from_entries(F.filter(lags, lambda e: e["v"].isNotNull())).alias("channel_lags"),
     )
@@ -71,7 +75,7 @@ def li_requests(spark, sf):
 def batch_scoring(spark, sf):
     """SRV-01: score a table of requests with the OLS model and the fitted imputer/scaler."""
     res, p = _train("LinearRegression", spark, sf)
-    art = ServingArtefacts(LI_PANEL, LI_OPTS, p, res.model, res.uses_scaled, res.name)
+    art = ServingArtefacts(LI_PANEL, LI_OPTS, p, res.model, res.uses_scaled, res.name, history_max=LI_HISTORY_MAX)
     out = score_requests(li_requests(spark, sf), art, ["entity"])
     return out.select("entity", "date", "predicted", "category", F.array_join("advisories", " | ").alias("advice"),
                       "model_used", F.array_join("errors", ",").alias("errors"))

@@ -141,19 +141,6 @@ def write_document(doc: DataFrame, path: str) -> None:
     doc.write.mode("overwrite").json(path)
 
 
-def append_history(rows: DataFrame, path: str, columns: list[str]) -> None:
-    """SNK-08: append prediction rows with a fixed column list (missing -> NULL, extra dropped)."""
-    rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns]) \
-        .write.mode("append").parquet(path)
-
-
-def write_latest(history: DataFrame, key: list[str], ts: str, path: str) -> None:
-    """SNK-09: replace the latest-row-per-key table."""
-    cols = [c for c in history.columns if c not in key]
-    latest = history.groupBy(*key).agg(F.max_by(F.struct(*cols), F.col(ts)).alias("_l")).select(*key, "_l.*")
-    latest.write.mode("overwrite").parquet(path)
-
-
 def save_model(model, path: str) -> None:
     """SNK-10: Spark ML model persistence (replaces pickled estimators)."""
     model.write().overwrite().save(path)
