@@ -2,7 +2,8 @@
 
 A page is read into a tree of block elements; inline tags are transparent and
 text belongs to the innermost block. Elements that are boilerplate by their
-tag, their role or a whole class name ("ad", "comments") are removed. A mere
+tag, their role, a whole class name or id ("ad", "comments") or the name of a box of comments or notices
+("comment-list", "cookie-notice") are removed, and so are forms, unless a form holds most of the page. A mere
 word of a class or id ("related-work"; not the id of a heading) only makes an element suspect: it goes
 if it is mostly links or, outside an article or main and unless a heading or
 paragraph, if it is short or has many links; else it loses points. Every text block passes points
@@ -20,36 +21,42 @@ Row-wise work: pages stay in their partitions, one batch of them is in memory.
 
 Edge cases: null and empty html give an empty text, as do pages whose every
 block is boilerplate; unclosed and stray tags, comments and quotes are read
-as browsers roughly do; a repeated page gets its row each time; columns other
-than the html pass through.
+as browsers roughly do; scripts and other raw elements end at their end tag, whatever they hold; very long pages
+and long runs of broken markup are read in one pass; a repeated page gets its row each time, there are no ties
+to break; columns named text or n_chars are replaced, others pass through.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 
 from .common import append_columns
 
-_TOKEN = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^>]*>|</?[a-zA-Z](?>[^\s/>]*)(?>(?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^>]*>|[^<]+|<""", re.S)
+_TAG = re.compile(r"""</?[a-zA-Z](?>[^\s/>]*)(?>(?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^>]*>""")
+_ANCHOR = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "noembed", "noframes"}
+_RAW_END = {x: re.compile(f"</{x}(?=[\\s/>])", re.I) for x in _RAW}
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_DROPPED = set("nav footer aside form button select option datalist dialog menu head svg canvas object audio video map fieldset search math".split())
+_DROPPED = set("nav footer aside button select option datalist dialog menu head svg canvas object audio video map fieldset search math".split())
 _PARAGRAPH = set("p pre blockquote td th li h1 h2 h3 h4 h5 h6 dd dt figcaption caption summary address".split())
-_BLOCK = _PARAGRAPH | _DROPPED | set("html body div article section main header ul ol dl table thead tbody tfoot tr figure details hgroup center legend".split())
+_BLOCK = _PARAGRAPH | _DROPPED | set("form html body div article section main header ul ol dl table thead tbody tfoot tr figure details hgroup center legend".split())
 _ENDS_P = _BLOCK - {"td", "th", "tr", "thead", "tbody", "tfoot", "caption", "html", "body", "button", "option", "svg", "math"}
 _SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"})}
 _BAD = set("nav navbar navigation menu footer sidebar aside ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments disqus replies respond reply share sharing social breadcrumb breadcrumbs pagination pager related recommended recommendations widget toolbar masthead skip gdpr paywall toc".split())
 #: Words of ``_BAD`` that, as a whole class name, are in use for content as well.
-_UNSURE = set("menu notice notices alert related recommended recommendations consent promotion respond banner modal overlay widget".split())
+_UNSURE = set("menu related recommended recommendations consent promotion banner modal overlay widget".split())
+#: First or last words of names of boxes that are never article text, and the most words of such a name.
+_BOXES, _BOX_WORDS = set("comment comments notice notices".split()), 3
 _SURE = _BAD - _UNSURE
 _PLAIN = set("p pre blockquote h1 h2 h3 h4 h5 h6".split())
-#: Degrees of ``bad``: suspect; suspect, but a heading, a paragraph or within an article or main; boilerplate.
-SUSPECT, SPARED, BAD = 1, 2, 3
+#: Degrees of ``bad``: suspect; suspect, but a heading, a paragraph or within an article or main; boilerplate; a form.
+SUSPECT, SPARED, BAD, FORM = 1, 2, 3, 4
 #: Characters of a long text; points that a suspect element loses.
 LONG, LOSS = 200, 10
 _HEADERS = {"header"}
@@ -69,31 +76,91 @@ class Node:
         self.score, self.points, self.chars, self.linked = 0.0, 0.0, 0, 0
 
 
+def _is_box(name: str) -> bool:
+    """A name made for reader comments or notices ("comment-list", "user-comments", "cookie-notice"), not a long slug."""
+    words = [w.lower() for w in _WORDS.findall(name)]
+    return 0 < len(words) <= _BOX_WORDS and (words[0] in _BOXES or words[-1] in _BOXES)
+
+
 def _badness(tag: str, attributes: str, inside: bool) -> int:
-    """Boilerplate by tag, role, visibility or class name, or suspect by a word of class or id; ``inside``: within an article or main."""
+    """Boilerplate by tag, role, visibility or name, or suspect by a word of class or id; ``inside``: within an article or main."""
     if tag in _DROPPED or tag in _HEADERS and not inside:
         return BAD
     if not attributes or tag in ("html", "body", "article", "main"):
-        return 0
+        return FORM if tag == "form" else 0
     suspect = False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value.lower() in _ROLES:
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value.lower() in _ROLES - ({"form"} if tag == "form" else set()):
             return BAD
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return BAD
+        if tag == "form":  # decided by what it holds
+            continue
         if name == "class" or name == "id" and tag not in _PLAIN:  # the id of a heading or paragraph is an anchor
-            if name == "class" and not _SURE.isdisjoint(value.lower().split()):
+            tokens = value.lower().split()
+            if name == "class" and not _SURE.isdisjoint(tokens):
+                return BAD
+            if tag not in _PLAIN and (value.strip().lower() in _SURE or any(_is_box(t) for t in value.split()) and (name == "class" or len(_WORDS.findall(value)) < _BOX_WORDS)):
                 return BAD
             words = {w.lower() for w in _WORDS.findall(value)}
             suspect = suspect or bool(words & _BAD or not inside and words & _HEADERS)
+    if tag == "form":
+        return FORM
     return (SPARED if inside or tag in _PLAIN else SUSPECT) if suspect else 0
 
 
+def _closed_links(page: str) -> set[int]:
+    """Places of the links that are ended before another one begins: blocks within them are linked too."""
+    out, last = set(), None
+    for m in _ANCHOR.finditer(page):
+        if m[1]:
+            if last is not None:
+                out.add(last)
+            last = None
+        else:
+            last = m.start()
+    return out
+
+
+def _tokens(page: str):
+    """(start, tag or None, text): text, tags and stray "<", in one pass; what raw elements and comments hold is left out."""
+    at, end, last = 0, len(page), page.rfind(">")
+    while at < end:
+        lt = page.find("<", at)
+        if lt < 0:
+            yield at, None, page[at:]
+            return
+        if lt > at:
+            yield at, None, page[at:lt]
+        if page.startswith("<!--", lt):
+            close = page.find("-->", lt + 4)
+            at = end if close < 0 else close + 3
+        elif lt > last:  # no tag ends behind this place
+            yield lt, None, page[lt:]
+            return
+        elif page[lt + 1 : lt + 2] in ("!", "?"):
+            at = page.find(">", lt) + 1
+        elif (m := _TAG.match(page, lt)) is None:
+            yield lt, None, "<"
+            at = lt + 1
+        else:
+            name = _NAME.match(m[0])[1].lower()
+            yield lt, name, m[0]
+            at = m.end()
+            if name in _RAW and m[0][1] != "/" and not m[0].endswith("/>"):
+                ends = _RAW_END[name].search(page, at)
+                if ends is not None:
+                    at = page.find(">", ends.start()) + 1 or end
+                elif name in ("script", "style"):
+                    return  # all the rest is its text
+
+
 def read_tree(page: str) -> Node:
     root = Node("html", None)
-    at, links, raw, pending, linked = root, 0, None, [], 0
-    inside = 0
+    at, link, pending, linked = root, 0, [], 0  # link: 1 up to the next block, 2 up to the end tag
+    inside, opened = 0, Counter()
+    whole = _closed_links(page)
 
     def flush():
         nonlocal linked
@@ -107,6 +174,8 @@ def read_tree(page: str) -> Node:
     def close(tags: set, stop: set) -> None:
         """Ends the innermost element of ``tags`` and all in it, if none of ``stop`` lies between."""
         nonlocal at, inside
+        if not any(opened[t] for t in tags):
+            return
         node = at
         while node is not None and node.tag not in tags:
             if node.tag in stop:
@@ -117,37 +186,27 @@ def read_tree(page: str) -> Node:
         flush()
         while at is not node.parent:
             inside -= at.tag in ("article", "main")
+            opened[at.tag] -= 1
             at = at.parent
 
-    for m in _TOKEN.finditer(page):
-        token = m[0]
-        if raw:  # everything up to the end tag is no markup
-            if not (token[:2] == "</" and (name := _NAME.match(token)) and name[1].lower() == raw):
-                continue
-        if token[0] != "<" or len(token) == 1:
+    for place, tag, token in _tokens(page):
+        if tag is None:
             text = entities.unescape(token)
             pending.append(text)
-            if links > 0:
+            if link:
                 linked += len(text.strip())
             continue
-        name = _NAME.match(token)
-        if name is None:
-            continue
-        tag, closing = name[1].lower(), token[1] == "/"
-        if closing:
-            if tag == raw:
-                raw = None
-            elif tag == "a":
-                links = max(0, links - 1)
+        if token[1] == "/":
+            if tag == "a":
+                link = 0
             elif tag in _BLOCK:
                 close({tag}, set())
             continue
         if tag in _RAW:
-            raw = None if token.endswith("/>") else tag
             if tag not in ("title", "style", "script"):
                 pending.append(" ")
         elif tag == "a":
-            links = 1
+            link = 2 if place in whole else 1
         elif tag in ("br", "hr", "img"):
             pending.append(" ")
         elif tag in _BLOCK:
@@ -158,13 +217,15 @@ def read_tree(page: str) -> Node:
             if tag == "body" and at.tag == "head":
                 close({"head"}, set())
             flush()
-            links = 0
+            link = 2 if link == 2 else 0
             if tag in ("html", "body"):
                 continue
             if tag[0] == "h" and tag[1:].isdigit() and at.tag[0] == "h" and at.tag[1:].isdigit():
                 close({at.tag}, set())
+            name = _NAME.match(token)
             at.children.append(child := Node(tag, at, _badness(tag, token[name.end() : -1].strip().rstrip("/"), inside > 0)))
             at = child
+            opened[tag] += 1
             inside += tag in ("article", "main")
         elif tag == "frameset":
             flush()
@@ -172,16 +233,6 @@ def read_tree(page: str) -> Node:
     return root
 
 
-def _raw_unclosed(page: str) -> str:
-    """A raw element that is never closed would hide the rest of the page: its tag is dropped."""
-    for tag in _RAW:
-        if f"<{tag}" in (low := page.lower()) and low.count(f"<{tag}") > low.count(f"</{tag}"):
-            last = low.rfind(f"<{tag}")
-            if low.find(f"</{tag}", last) < 0 and tag not in ("script", "style"):
-                page = page[:last] + page[last:].replace(page[last : page.find(">", last) + 1], "", 1)
-    return page
-
-
 def _add_up(node: Node) -> list[Node]:
     """Adds up characters and linked characters without what is boilerplate; the nodes left; iterative, since trees can be deep."""
     order, stack = [], [node]
@@ -200,7 +251,13 @@ def _add_up(node: Node) -> list[Node]:
 
 def _prune(node: Node) -> None:
     """Removes boilerplate, and suspect elements by their length and link density."""
-    suspects = [n for n in _add_up(node) if n.bad]
+    left = _add_up(node)
+    forms = [n for n in left if n.bad == FORM]
+    if forms:  # a form around most of the page is the page; others are boilerplate
+        for n in forms:
+            n.bad = 0 if n.chars >= LONG and 2 * n.chars > node.chars and 2 * n.linked < n.chars else BAD
+        left = _add_up(node)
+    suspects = [n for n in left if n.bad]
     for n in suspects:
         if 2 * n.linked >= n.chars or n.bad == SUSPECT and (n.chars < LONG or 4 * n.linked >= n.chars):
             n.bad = BAD
@@ -273,7 +330,7 @@ def _texts(node: Node) -> list[str]:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    root = read_tree(_raw_unclosed(page))
+    root = read_tree(page)
     _prune(root)
     scored = _score(root)
     if not scored:

@@ -20,8 +20,6 @@ rows; texts are read whole.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +32,6 @@ EPOCHS, BATCH, RATE = 8, 32, 0.3
 #: Accuracy wanted among the predictions that are not rejected.
 WANTED = 0.995
 _LETTERS = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def buckets_of(text: bytes | None) -> np.ndarray:
@@ -42,7 +39,7 @@ def buckets_of(text: bytes | None) -> np.ndarray:
     if not text:
         return np.empty(0, dtype=np.int64)
     shown = text.decode()
-    if not _LETTER.search(shown):
+    if not any(map(str.isalpha, shown)):  # other numerals (one half, roman eight) are no letters
         return np.empty(0, dtype=np.int64)
     flat = shown.lower().encode().translate(_LETTERS).split()
     a = np.frombuffer(b" " + b" ".join(flat) + b" ", dtype=np.uint8).astype(np.uint32)

@@ -468,5 +468,5 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str
         # a set of a component of two has one link
         counted = comp.select("node").join(cut(_count_links(nodes, comp, docs, n, percent)), "node", "left").select("node", F.coalesce("n_links", F.lit(1)).alias("n_links"))
         label = label.join(counted, "node", "left")
-        shown.insert(2, F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        shown.append(F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return held.select("d", "n", "node").join(label, "node", "left").select(*shown)

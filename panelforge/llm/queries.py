@@ -61,9 +61,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("pii", lambda x: x["kind"] != "iban")
     return found.select(
         "doc_id",
-        *[count(k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone", "iban")],
+        *[count(k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
         F.sha2(line(base), 256).alias("base_sha256"),
         line(F.col("pii")).alias("spans"),
+        count("iban").alias("n_iban"),
+        # what the words before a span say for or against it
+        F.array_join(F.transform("pii", lambda x: x["score"].cast("string")), ",").alias("scores"),
+        F.coalesce(F.array_max(F.transform("pii", lambda x: x["score"])), F.lit(0.0)).alias("risk"),
     )
 
 

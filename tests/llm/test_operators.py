@@ -488,6 +488,63 @@ def test_html_slug_ids_are_no_boilerplate():
     assert html_extract.main_text(f'<body><h1 id="share-of-votes">Votes</h1><div><p>{long}</p></div><p id="notice-period">A month.</p></body>').split("\n") == ["Votes", long.strip(), "A month."]
 
 
+BODY = "The first paragraph of the article, long enough, with commas, says what it is about, and goes on for a while. " * 3
+ARTICLE = f"<article><h1>Title</h1><p>{BODY}</p><p>Short end.</p>%s</article>"
+ARTICLE_TEXT = ["Title", BODY.strip(), "Short end."]
+
+
+@pytest.mark.parametrize("script", ["for(var i=0;i<e.length;i++)g(e[i])", "if(a<b&&c>d){x='</p>'}", "var s='<!--';", "a<b", "document.write('<div><p>no</p></div>')", 'x="<a href=\'";y=1<n'])
+def test_html_reads_on_after_scripts(script):
+    page = f"<html><head><title>T <b</title><script>{script}</script><style>p<a{{}}</style></head><body>{ARTICLE % f'<script type=x>{script}</SCRIPT >'}<script>{script}</script></body></html>"
+    assert html_extract.main_text(page).split("\n") == ARTICLE_TEXT
+
+
+@pytest.mark.parametrize("box", ["<div id=\"comments\"><p>%s</p></div>", "<section class=\"comment-list\"><p>%s</p></section>", "<div class=\"notice\">%s</div>", "<ol class='commentlist comments-area'><li>%s</ol>", "<div class=\"cookie-notice\"><p>%s</p></div>", "<div class='userComments'><p>%s</p></div>", "<form><p>%s</p></form>", "<div id=footer><p>%s</p></div>"])
+def test_html_boxes_within_articles_go(box):
+    filler = box % "A reader says, at some length, that this is so, or not so, as it were, and so on. "
+    for page in (f"<body>{ARTICLE % filler}</body>", f"<body><main><div>{ARTICLE % ''}</div>{filler}</main></body>"):
+        assert html_extract.main_text(page).split("\n") == ARTICLE_TEXT, box
+    kept = ARTICLE % f"<section id='comments-on-the-text'><h2 id=notices>On comments</h2><p id=comment-1>{BODY}</p></section>"
+    assert html_extract.main_text(kept).split("\n") == [*ARTICLE_TEXT, "On comments", BODY.strip()]
+
+
+def test_html_link_cards_and_page_wide_forms():
+    card = "<a href=x><h3>Another story</h3><p>What it says, in short.</p></a>"
+    page = f"<body><div><div><h1>Title</h1><p>{BODY}</p><p>Short end.</p></div><div>{card * 5}</div></div></body>"
+    assert html_extract.main_text(page).split("\n") == ARTICLE_TEXT
+    assert html_extract.main_text(f"<body><form action=/x><div><h1>Title</h1><p>{BODY}</p><select><option>1</select><p>Short end.</p></div></form></body>").split("\n") == ARTICLE_TEXT
+    assert html_extract.main_text(f"<body><a name=top><h1>Title</h1><p>{BODY}</p><p>Short end.</p></body>").split("\n") == ARTICLE_TEXT  # never closed: no link
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<", "<!", "<a '", "<a \"'>", "<!--", "</section>", "<div>", "<li><div>", "<p><b", "<script>", "&", "<a href=x>", "<dd><ul>"])
+def test_html_reads_a_megabyte_of_broken_markup_in_one_pass(unit):
+    import time
+
+    page = unit * (1_000_000 // len(unit))
+    began = time.perf_counter()
+    html_extract.main_text(page + f"<p>{BODY}</p>")
+    assert time.perf_counter() - began < 8  # quadratic reading takes minutes
+
+
+def test_texts_without_a_letter_are_und(spark):
+    rows = [(i, f"the plain text number {i} with words of its own", "en") for i in range(30)] + [(100 + i, f"der schlichte Text Nummer {i} mit eigenen Worten", "de") for i in range(30)]
+    learn = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    odd = spark.createDataFrame([(1, "\u00bd \u00b2"), (2, "\u2167"), (3, "12 _ 7"), (4, None), (5, ""), (6, "der Text")], "doc_id bigint, text string")
+    got = {r.doc_id: r.lang_pred for r in langid.predict(odd, langid.fit(learn)).collect()}
+    assert {got[i] for i in range(1, 6)} == {"und"} and got[6] != "und"
+
+
+def test_contract_columns_come_first(spark, sf):
+    from panelforge.llm import queries as q
+
+    assert q.op5_ngram_join(spark, sf).columns[:3] == ["doc_id", "n_shingles", "component_id"]
+    assert q.op7_pii(spark, sf).columns[:7] == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    rows = [(1, "call my mobile +49 30 1234567"), (2, "isbn +49 30 1234567"), (3, "none")]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    score = {r.doc_id: [x.score for x in r.pii if x.kind == "phone"] for r in found}
+    assert score[1][0] > score[2][0] and score[3] == []
+
+
 # --- queries and pipeline
 
 
