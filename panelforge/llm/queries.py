@@ -44,7 +44,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
