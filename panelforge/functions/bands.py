@@ -61,14 +61,12 @@ def band_table(spark, bands=SUBINDEX_BANDS) -> DataFrame:
 
 
 def subindex_join(df: DataFrame, col: str, bands: DataFrame, name: str = "subindex",
-                  ceiling: int = SUBINDEX_CEILING, max_rows: int = 10_000) -> DataFrame:
-    """JOIN-04 as a broadcast range join on a band table (reference gap semantics)."""
-    n = bands.count()
-    if n > max_rows:
-        raise ValueError(f"band table has {n} rows; a range lookup table must be small")
-    b = F.broadcast(bands.select("c_lo", "c_hi", "i_lo", "i_hi"))
+                  ceiling: int = SUBINDEX_CEILING) -> DataFrame:
+    """JOIN-04 on a band table of any size (reference gap semantics): an equi-join over bins of the value's range."""
+    from ..operators.joins import range_lookup
+
     v = _c(col).cast("double")
-    j = df.join(b, (v >= F.col("c_lo")) & (v <= F.col("c_hi")), "left")
+    j = range_lookup(df, v, bands, "c_lo", "c_hi", ["c_lo", "c_hi", "i_lo", "i_hi"])
     val = (F.col("i_hi") - F.col("i_lo")) / (F.col("c_hi") - F.col("c_lo")) * (v - F.col("c_lo")) + F.col("i_lo")
     out = F.when(v.isNull() | (v < 0), F.lit(None)).when(F.col("c_lo").isNull(), F.lit(ceiling)).otherwise(
         F.bround(val, 0))

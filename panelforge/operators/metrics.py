@@ -39,24 +39,16 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, by=("model",
     )
 
 
-def ordered_position(df: DataFrame, group: list[str], entity: str, time: str, chunk_days: int = 365,
-                     name: str = "Index") -> DataFrame:
-    """0-based contiguous position of each row inside ``group`` ordered by (entity, time).
+def ordered_position(df: DataFrame, group: list[str], entity: str, time: str, name: str = "Index") -> DataFrame:
+    """0-based contiguous position of each row inside ``group`` ordered by (entity, time), NULLs last.
 
-    Position = rows of the group in earlier (entity, time-chunk) blocks + row number
-    inside the block. The block table has one row per (group, entity, chunk); rows are
-    numbered per block, so no group or entity is ever gathered into one task.
+    One range sort over (group, entity, time): no group, entity or block of equal times is gathered into one task.
     """
-    chunk = F.floor(F.datediff(_c(time).cast("date"), F.lit("1970-01-01").cast("date")) / chunk_days)
-    base = df.withColumn("_blk", F.coalesce(chunk.cast("long"), F.lit(2 ** 40)))
-    blocks = base.groupBy(*group, entity, "_blk").agg(F.count(F.lit(1)).alias("_bn"))
-    wo = Window.partitionBy(*group).orderBy(_c(entity).asc_nulls_last(), F.col("_blk"))
-    offsets = blocks.withColumn(
-        "_off", F.coalesce(F.sum("_bn").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).drop("_bn")
-    wb = Window.partitionBy(*group, entity, "_blk").orderBy(_c(time).asc_nulls_last())
-    j = base.join(offsets, [*group, entity, "_blk"])
-    return j.withColumn(name, (F.col("_off") + F.row_number().over(wb) - 1).cast("long")).drop("_blk", "_off")
+    from .ordering import global_rank
+
+    keyed = df.withColumn("_t", F.monotonically_increasing_id())
+    ranked = global_rank(keyed, [_c(entity).asc_nulls_last(), _c(time).asc_nulls_last(), F.col("_t")], "_r", group)
+    return ranked.withColumn(name, F.col("_r") - 1).drop("_r", "_t")
 
 
 def prediction_table(scored: DataFrame, label: str, prediction: str, entity: str, time: str,

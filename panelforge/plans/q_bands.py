@@ -12,6 +12,9 @@ from ..sources.stations import complete_cities, stations_from_payload
 from ..sources.tables import table
 from ..spec import ADVISORIES, SUBINDEX_BANDS
 from .q_windows import EV
+from ..operators.joins import range_lookup
+from ..operators.ordering import global_rank
+from ..operators.rank import interpretability_join
 from .registry import query, round_doubles
 
 
@@ -99,7 +102,7 @@ WITH v AS (SELECT l_orderkey, l_linenumber, round(l_extendedprice / 191, 2) AS c
 SELECT l_orderkey, l_linenumber, {_subindex_sql('c', 'reference')} AS subindex FROM v
 """)
 def subindex_range_join(spark, sf):
-    """JOIN-04: the same sub-index through a broadcast range join on the band table."""
+    """JOIN-04: the same sub-index through a join with the band table over bins of the value."""
     v = _conc(spark, sf)
     out = B.subindex_join(v, "c", B.band_table(spark))
     return out.select("l_orderkey", "l_linenumber", "subindex")
@@ -199,3 +202,41 @@ def json_docs(spark, sf):
     ev = table(spark, sf, "events").select("event_type", "props")
     k = F.from_json("props", "k long")["k"]
     return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(k).alias("k_sum"), F.max(k).alias("k_max"))
+
+
+_PRICE_SQL = """
+WITH e AS (SELECT DISTINCT p_retailprice AS lo FROM part),
+b AS (SELECT lo, lead(lo) OVER (ORDER BY lo) AS hi FROM e),
+v AS (SELECT l_orderkey, l_linenumber, round(880 + l_extendedprice % 140, 2) AS v FROM lineitem)
+SELECT l_orderkey, l_linenumber, v, (SELECT min(lo) FROM b WHERE v.v >= lo AND (hi IS NULL OR v.v <= hi)) AS band FROM v
+"""
+
+
+@query("price_band_join", _PRICE_SQL)
+def price_band_join(spark, sf):
+    """JOIN-04 with as many bands as there are part prices, the last one open: each line's price in its band."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.round(880 + F.col("l_extendedprice") % 140, 2).alias("v"))
+    prices = table(spark, sf, "part").select(F.col("p_retailprice").alias("band")).distinct()
+    edges = global_rank(prices, [F.col("band").asc()], "at")
+    after = edges.select((F.col("at") - 1).alias("at"), F.col("band").alias("hi"))
+    bands = edges.join(after, "at", "left").withColumn("lo", F.col("band"))
+    return range_lookup(li, F.col("v"), bands, "lo", "hi", ["band"])
+
+
+_KEYWORD_SQL = """
+WITH n AS (SELECT p_partkey, p_name || ' ' || p_type AS name FROM part),
+w AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS k FROM part UNION SELECT DISTINCT p_name FROM part WHERE p_name LIKE 'hot%'
+  UNION SELECT DISTINCT p_type FROM part WHERE p_type LIKE '%O%'),
+r AS (SELECT n.name, max_by(length(k), length(k)) AS s FROM (SELECT DISTINCT name FROM n) n JOIN w ON contains(n.name, k) GROUP BY n.name)
+SELECT p_partkey, n.name, coalesce(CAST(s AS DOUBLE), 0.4) AS interpretability FROM n LEFT JOIN r ON n.name = r.name
+"""
+
+
+@query("keyword_rules", _KEYWORD_SQL)
+def keyword_rules(spark, sf):
+    """JOIN-05 with rules as data: the longest rule contained in each part's name; here a rule scores its length."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    words = [F.split_part(F.col("p_name"), F.lit(" "), F.lit(2)), F.when(F.col("p_name").startswith("hot"), F.col("p_name")), F.when(F.col("p_type").contains("O"), F.col("p_type"))]
+    rules = p.select(F.explode(F.array(*words)).alias("keyword")).where("keyword is not null").distinct().withColumn("score", F.length("keyword").cast("double"))
+    named = p.select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("name"))
+    return interpretability_join(named, "name", rules)
