@@ -20,11 +20,11 @@ from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
     LinearRegression,
-    RandomForestRegressor,
 )
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .forest import BinnedForest
 from .metrics import regression_metrics
 from .split import SPLITS
 
@@ -67,8 +67,7 @@ def _tree(train, label):
 
 def _forest(num_trees: int = 300, max_depth: int = 30):
     def make(train, label):
-        return RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=3,
-                                     featureSubsetStrategy="all", seed=SEED, maxBins=64)
+        return BinnedForest(trees=num_trees, depth=max_depth, min_rows=3, max_bins=64, seed=SEED)
 
     return make
 
