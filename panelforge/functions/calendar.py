@@ -29,11 +29,6 @@ def parse_date_strict(col: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
     return F.to_date(F.trim(c.cast("string")), fmt)
 
 
-def invalid_date_count(col: str, fmt: str = "yyyy-MM-dd") -> Column:
-    """VAL-12 aggregate: non-NULL raw values that do not parse."""
-    return F.count_if(_c(col).isNotNull() & parse_date(col, fmt).isNull())
-
-
 def calendar_columns(date_col: str, names=("Year", "Month", "DayOfMonth", "DayOfWeek", "IsWeekend")) -> list[Column]:
     """FN-03..05: year, month, day, weekday (Mon=0) and weekend flag (NULL date -> 0)."""
     if isinstance(date_col, str) and date_col.lower() in {n.lower() for n in names}:

@@ -138,7 +138,7 @@ def importance_document(imp: DataFrame, method: str) -> DataFrame:
 
 def dashboard_document(imp: DataFrame, lb_row: DataFrame) -> DataFrame:
     """SNK-06 + FN-20: top feature, its importance and share, first-10 names, summary
-    sentence; joined to the model's leaderboard row (R2, score)."""
+    fields (NULL without importances); joined to the model's leaderboard row (R2, score)."""
     top10 = F.transform(
         F.array_sort(F.collect_list(F.when(F.col("rank") <= 10, F.struct("rank", "feature")))),
         lambda s: s["feature"],
@@ -150,12 +150,9 @@ def dashboard_document(imp: DataFrame, lb_row: DataFrame) -> DataFrame:
         F.filter(top10, lambda x: x.isNotNull()).alias("top10"),
     )
     out = lb_row.select("model", "validation_r2", "engineering_score").join(d, "model", "left")
-    return out.withColumn(
-        "summary",
-        F.when(F.col("top_feature").isNull(), F.lit("No feature importances are available for this model."))
-        .otherwise(F.format_string("%s is driven most by %s, which holds %.2f%% of the total importance.",
-                                   F.col("model"), F.col("top_feature"), F.col("top_pct"))),
-    )
+    fields = F.concat(F.lit("model "), F.col("model"), F.lit("; top feature "), F.col("top_feature"),
+                      F.lit("; share "), F.format_string("%.2f", F.col("top_pct")), F.lit(" %"))
+    return out.withColumn("summary", F.when(F.col("top_feature").isNotNull(), fields))
 
 
 def empty_importance(spark: SparkSession) -> DataFrame:

@@ -20,6 +20,7 @@ from ..operators import clean as CL
 from ..operators import impute as I
 from ..operators import scale as SC
 from ..operators import split as SP
+from ..operators import validate as V
 from ..operators import windows as W
 from ..operators.ledger import Ledger
 from ..spec import PanelSpec
@@ -95,6 +96,8 @@ def prepare(panel: DataFrame, spec: PanelSpec, cutoffs: tuple[str, str, str], op
     series forward then backward (POL-01) and falls back to the training mean.
     With a ``ledger`` the panel, the features, the split and the imputed table are written as its stages."""
     opts = opts or FeatureOptions()
+    V.require_columns(panel, [spec.entity, spec.time, spec.target, *spec.channels])  # VAL-01
+    V.require_date_type(panel, spec.time)  # VAL-03
     if ledger:
         panel = ledger.run("load", panel)
     feats = feature_panel(panel, spec, opts, cutoffs)

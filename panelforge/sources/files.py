@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 CORRUPT = "_corrupt_record"
 
@@ -79,12 +80,19 @@ def read_permissive(spark: SparkSession, path: str, schema: T.StructType, fmt: s
 
 def read_json_records(spark: SparkSession, directory: str, schema: T.StructType, suffix: str,
                       key: str | None = None) -> DataFrame:
-    """SRC-04/05: one JSON document per file matching ``*<suffix>``; malformed or non-object
-    files are skipped. With ``key`` a missing key defaults to the file stem."""
-    df = (spark.read.schema(_with_corrupt(schema)).option("multiLine", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", f"*{suffix}")
-          .json(directory).select("*", F.col("_metadata.file_name").alias("_file")))
-    df = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    """SRC-04/05: one JSON object per file matching ``*<suffix>``; files that are malformed or hold
+    anything else (an array, a number) are skipped, a missing directory is an empty table. With
+    ``key`` a missing key defaults to the file stem."""
+    try:
+        raw = spark.read.option("pathGlobFilter", f"*{suffix}").text(directory, wholetext=True)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+    partitions = [c for c in raw.columns if c != "value"]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    doc = F.from_json("value", _with_corrupt(schema), options)
+    own = F.ltrim(F.translate("value", "\t\r\n", "   ")).startswith("{")
+    df = raw.select(F.when(own, doc).alias("_doc"), *partitions, F.col("_metadata.file_name").alias("_file"))
+    df = df.where(F.col("_doc").isNotNull() & F.col(f"_doc.{CORRUPT}").isNull()).select("_doc.*", *partitions, "_file").drop(CORRUPT)
     if key:
         stem = F.regexp_replace(F.col("_file"), r"(_metrics|_metadata)?\.json$", "")
         df = df.withColumn(key, F.coalesce(F.col(key), stem))
@@ -139,13 +147,3 @@ def write_leaderboard(lb: DataFrame, path: str) -> None:
 def write_document(doc: DataFrame, path: str) -> None:
     """SNK-05/06/07: nested documents (one JSON object per row)."""
     doc.write.mode("overwrite").json(path)
-
-
-def save_model(model, path: str) -> None:
-    """SNK-10: Spark ML model persistence (replaces pickled estimators)."""
-    model.write().overwrite().save(path)
-
-
-def load_model(cls, path: str):
-    """SNK-10: load a model saved with :func:`save_model` (``cls`` = the model class)."""
-    return cls.load(path)

@@ -101,9 +101,3 @@ SELECT CAST(c_nationkey AS INTEGER) AS entity, CAST(o_orderdate AS DATE) AS day,
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 GROUP BY 1, 2
 """
-
-
-def with_cte(body: str, **ctes: str) -> str:
-    """Wrap ``body`` with named CTEs (used by the oracle SQL)."""
-    parts = ",\n".join(f"{name} AS ({sql})" for name, sql in ctes.items())
-    return f"WITH {parts}\n{body}"
