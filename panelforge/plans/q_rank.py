@@ -177,10 +177,73 @@ def recommendation(spark, sf):
                       "models", "ready")
 
 
-@query("leaderboard")
+def _line_sql(metric: str, col: str) -> str:
+    cuts, words = S.ASSESSMENT_BANDS[metric]
+    whens = " ".join(f"WHEN {col} >= {c} THEN '{w}'" for c, w in zip(cuts, words, strict=False))
+    return f"CASE WHEN {col} IS NOT NULL THEN '{metric} ' || printf('%.4f', {col}) || ' (' || CASE {whens} ELSE '{words[-1]}' END || ')' END"
+
+
+_LINES = {"validation R2": "validation_r2", "train-validation gap": "gap", "prediction time": "val_pred_time_s", "interpretability": "interp", "RMSE": "rmse"}
+
+_LEADERBOARD_SQL = _LB_CTE + f"""
+SELECT rank, model, round(validation_r2, 6) AS validation_r2, round(test_r2, 6) AS test_r2, round(mae, 6) AS mae, round(rmse, 6) AS rmse,
+  round(mape, 6) AS mape, train_time_s, round(val_pred_time_s, 6) AS val_pred_time_s, round(gap, 6) AS generalization_gap,
+  engineering_score, deployment_status, risk_flags,
+  concat_ws('; ', {", ".join(_line_sql(m, c) for m, c in _LINES.items())}, 'status ' || deployment_status) AS ai_comment
+FROM lb
+"""
+
+
+@query("leaderboard", _LEADERBOARD_SQL)
 def leaderboard(spark, sf):
     """LB-06 + SNK-04: the exported leaderboard columns incl. the generated comment."""
-    return R.export_view(_supplier_leaderboard(spark, sf))
+    return round_doubles(R.export_view(_supplier_leaderboard(spark, sf)))
+
+
+_REASONS_SQL = _LB_CTE + f"""
+SELECT model, concat_ws('; ', 'score ' || printf('%.4f', engineering_score), {", ".join(_line_sql(m, c) for m, c in list(_LINES.items())[:4])},
+    'status ' || deployment_status) AS reasons,
+  (SELECT string_agg(model, ',' ORDER BY model) FROM lb WHERE trim(deployment_status) = 'Production Ready') AS ready_models
+FROM lb WHERE rank = 1
+"""
+
+
+@query("recommendation_reasons", _REASONS_SQL)
+def recommendation_reasons(spark, sf):
+    """LB-07/08: why the winner is recommended, and the production-ready models (NULL if there are none)."""
+    rec = R.recommendation(_supplier_leaderboard(spark, sf))
+    ready = F.array_join("ready_models", ",")
+    return rec.select(F.col("recommended_model").alias("model"), F.array_join("reasons", "; ").alias("reasons"), F.when(ready != "", ready).alias("ready_models"))
+
+
+_METADATA_SQL = _LB_CTE + """
+, m AS (SELECT s_name AS model, count(*) AS n, CAST(max(l_shipdate) AS DATE) AS t, count(DISTINCT l_partkey) AS f
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal > 0 GROUP BY s_name)
+SELECT lb.rank, lb.model, coalesce(strftime(m.t, '%Y-%m-%d'), 'N/A') AS trained_at, coalesce(CAST(m.f AS VARCHAR), 'N/A') AS n_features,
+  coalesce(CAST(m.n AS VARCHAR), 'N/A') AS training_rows, coalesce('rows=' || CAST(m.n AS VARCHAR), '') AS hyperparameters
+FROM lb LEFT JOIN m ON lb.model = m.model
+"""
+
+
+@query("leaderboard_metadata", _METADATA_SQL)
+def leaderboard_metadata(spark, sf):
+    """SNK-03 -> SRC-05 -> JOIN-02: a metadata document per supplier (those with a positive balance), written, scanned and looked up
+    beside the leaderboard; models without a document get the defaults."""
+    from ..sources import files as IO
+    from ..streaming.pipeline import scratch
+
+    li = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", "l_shipdate")
+    s = table(spark, sf, "supplier").where("s_acctbal > 0").select("s_suppkey", F.col("s_name").alias("model_name"))
+    docs = li.join(s, li.l_suppkey == s.s_suppkey).groupBy("s_suppkey", "model_name").agg(
+        F.date_format(F.max(F.col("l_shipdate").cast("date")), "yyyy-MM-dd").alias("timestamp"), F.countDistinct("l_partkey").cast("int").alias("n_features"),
+        F.count(F.lit(1)).cast("int").alias("training_rows"))
+    docs = docs.withColumn("hyperparameters", F.create_map(F.lit("rows"), F.col("training_rows").cast("string")))
+    out = scratch(spark, "metadata")
+    IO.write_table(docs.withColumnRenamed("s_suppkey", "part"), out, "json", partition_by=["part"])
+    found = IO.read_json_records(spark, out, IO.METADATA_SCHEMA, ".json", key="model_name")
+    lb = R.with_metadata(_supplier_leaderboard(spark, sf), found)
+    shown = F.array_join(F.transform(F.map_entries("hyperparameters"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return lb.select("rank", "model", "trained_at", "n_features", "training_rows", shown.alias("hyperparameters"))
 
 
 def _customer_revenue(spark, sf):
