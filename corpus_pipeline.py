@@ -51,8 +51,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage of the benchmark go."""
-    out = decontam.decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"), with_spans=False)
+    """Documents with a passage of the benchmark go (its places in the text are found with it)."""
+    out = decontam.decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
     return out.where("not contaminated").select(*COLUMNS)
 
 

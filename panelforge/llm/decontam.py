@@ -1,26 +1,27 @@
 """Benchmark decontamination: one Aho-Corasick automaton over the benchmark's word windows.
 
-Texts are normalised to words joined by one space (A-Z lower-cased; every
-other ASCII character but digits separates). The automaton holds each window
-of ``window`` consecutive words of an item, with a space on both ends so that
-it starts and ends at words; one scan of a text finds all occurrences. For
-texts with hits, word positions are mapped back to code points of the
-original.
+Texts are normalised to words (A-Z lower-cased; every other ASCII character but digits
+separates). The words of the benchmark are numbered, and the automaton's alphabet is these numbers: it holds
+each window of ``window`` consecutive words of an item as so many symbols, and a text is
+scanned once as the sequence of its words' numbers (one more for all other words). For
+texts with hits, word positions are mapped back to code points of the original.
 
 The benchmark is the only thing broadcast, and its size is checked: items
-beyond ``max_bytes`` are split by hash into blocks, each with an automaton
-and a scan of its own; hits of the blocks are united per text.
+beyond ``max_bytes`` (at most that many nodes times five, about 100 bytes each) are split by hash into blocks, each with
+an automaton and a scan of its own; hits of the blocks are united per text.
 
 Edge cases: null, empty and word-less texts have no words and no hits;
 repeated document rows each get their row; null or word-less items have no
 window; items without an id mark words but are not listed; an empty benchmark
-gives zero hits everywhere. Columns other than those named are ignored.
+gives zero hits everywhere; very long texts are scanned whole; nothing depends on an order, so there are no ties. Columns
+of the documents named as the new ones are replaced, all others pass.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
+from itertools import repeat
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -39,28 +40,25 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_NORMAL).split() if text else []
 
 
-def windows_of(words: list[bytes], window: int) -> set[bytes]:
-    if len(words) <= window:
-        return {b" ".join(words)} if words else set()
-    return {b" ".join(words[i : i + window]) for i in range(len(words) - window + 1)}
-
-
-def _automaton(items: list[tuple[str | None, str]], window: int):
-    """The automaton of one block of items; kept for the tasks of a worker."""
-    key = hashlib.sha256(repr((items, window)).encode()).digest()
-    if key not in _BUILT:
-        owners: dict[bytes, set] = {}
+def _automaton(block: tuple[str, list[tuple[str | None, str]]], window: int):
+    """Symbols of the words and the automaton of one block of items; kept for the tasks of a worker by the block's name."""
+    name, items = block
+    if (name, window) not in _BUILT:
+        symbols: dict[bytes, str] = {}
+        owners: dict[str, set] = {}
         for item, text in items:
-            for w in windows_of(words_of(text.encode()), window):
-                owners.setdefault(w, set()).add(item)
+            words = words_of(text.encode())
+            line = "".join([symbols.setdefault(w, chr(len(symbols) + 1)) for w in words])
+            for i in range(max(1, len(line) - window + 1) if line else 0):
+                owners.setdefault(line[i : i + window], set()).add(item)
         a = ahocorasick.Automaton()
         for w, ids in owners.items():
-            a.add_word(f" {w.decode('latin-1')} ", (len(w), tuple(i for i in ids if i is not None)))
+            a.add_word(w, (len(w), tuple(i for i in ids if i is not None)))
         if owners:
             a.make_automaton()
         _BUILT.clear()
-        _BUILT[key] = a if owners else None
-    return _BUILT[key]
+        _BUILT[name, window] = symbols, a if owners else None
+    return _BUILT[name, window]
 
 
 def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -73,23 +71,17 @@ def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _scan(text: bytes | None, automaton) -> tuple[int, list[tuple[int, int]], set]:
+def _scan(text: bytes | None, symbols: dict, automaton) -> tuple[int, list[tuple[int, int]], set]:
     """Number of words, hit word ranges (end exclusive) and items of a text."""
     words = words_of(text)
-    spans, items = [], set()
-    if words and automaton is not None:
-        line = f" {b' '.join(words).decode('latin-1')} "
-        found = []
-        for end, (size, ids) in automaton.iter(line):
-            found.append((end - size, end))
-            items.update(ids)
-        at = seen = 0
-        for a, b in _united(found):
-            first = seen + line.count(" ", at, a) - 1
-            last = first + line.count(" ", a, b) + 1
-            spans.append((first, last))
-            at, seen = b, last
-    return len(words), spans, items
+    if not words or automaton is None:
+        return len(words), [], set()
+    line = "".join(map(symbols.get, words, repeat("\0")))
+    found, items = [], set()
+    for end, (size, ids) in automaton.iter(line):
+        found.append((end - size + 1, end + 1))
+        items.update(ids)
+    return len(words), _united(found), items
 
 
 def _offsets(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -97,7 +89,7 @@ def _offsets(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]
     return [(places[a][0], places[b - 1][1]) for a, b in spans]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes: int = 8 << 20, text: str = "text", item_id: str = "item_id", item_text: str = "text", with_spans: bool = True, drop: tuple = ()) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes: int = 1 << 20, text: str = "text", item_id: str = "item_id", item_text: str = "text", with_spans: bool = True, drop: tuple = ()) -> DataFrame:
     """``docs`` (without the columns in ``drop``) plus n_words, n_hit, items (sorted strings), spans (code points, only ``with_spans``), contaminated."""
     items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null").distinct()
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
@@ -108,7 +100,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     out = docs.withColumns({own_name: F.expr(f"cast(array() as {places})"), "items": F.expr("cast(array() as array<string>)")})
     for block in range(blocks):
         own = sorted(((r["i"], r["t"]) for r in items.where(F.col("b") == block).collect()), key=lambda x: (x[0] or "", x[1]))
-        shared = docs.sparkSession.sparkContext.broadcast(own)
+        shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, own))
         last = block == blocks - 1
         out = append_columns(out, [text, own_name, "items"], f"n_words bigint, {own_name} {places}, items array<string>, spans {places}", _work(shared, window, last and with_spans), drop if last else ())
         out = out if last else cut(out)
@@ -119,10 +111,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
 def _work(shared, window: int, places: bool):
     def work():
-        automaton = _automaton(shared.value, window)
+        symbols, automaton = _automaton(shared.value, window)
 
         def one(t, before, items):
-            n, found, ids = _scan(t, automaton)
+            n, found, ids = _scan(t, symbols, automaton)
             spans = _united(found + [(x["start"], x["end"]) for x in before])
             mapped = _offsets(t, spans) if places and spans else []
             return n, [{"start": a, "end": b} for a, b in spans], sorted(ids.union(items)), [{"start": a, "end": b} for a, b in mapped]

@@ -73,8 +73,9 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), with_spans=False, drop=("text",))
-    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+    out = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), drop=("text",))
+    spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", spans.alias("spans"))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
