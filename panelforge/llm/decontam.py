@@ -1,13 +1,13 @@
 """Benchmark decontamination: one Aho-Corasick automaton over the benchmark's word windows.
 
 Texts are normalised to words (A-Z lower-cased; every other ASCII character but digits
-separates). The words of the benchmark are numbered, and the automaton's alphabet is these numbers: it holds
-each window of ``window`` consecutive words of an item as so many symbols, and a text is
-scanned once as the sequence of its words' numbers (one more for all other words). For
+separates). The words of the benchmark are numbered, each number written as ``DIGITS`` digits from alphabets of their
+own, and the automaton holds each window of ``window`` consecutive words of an item as these digits; few children
+per node, whatever the vocabulary. A text is scanned once as its words' digits (other words have digits of none). For
 texts with hits, word positions are mapped back to code points of the original.
 
 The benchmark is the only thing broadcast, and its size is checked: items
-beyond ``max_bytes`` (at most that many nodes times five, about 100 bytes each) are split by hash into blocks, each with
+beyond ``max_bytes`` (about 350 bytes of automaton for each) are split by hash into blocks, each with
 an automaton and a scan of its own; hits of the blocks are united per text.
 
 Edge cases: null, empty and word-less texts have no words and no hits;
@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import append_columns, cut, fresh
 
 WINDOW = 10
+#: A block of ``max_bytes`` has fewer words than BASE ** DIGITS.
+BASE, DIGITS = 96, 3
 _KEEP = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _NORMAL = bytes(b if b in _KEEP else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -40,6 +42,11 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_NORMAL).split() if text else []
 
 
+def _digits(n: int) -> str:
+    """``DIGITS`` symbols of a word's number, each place with symbols of its own, so that no match is out of step."""
+    return "".join([chr(1 + place * BASE + n // BASE**place % BASE) for place in range(DIGITS)])
+
+
 def _automaton(block: tuple[str, list[tuple[str | None, str]]], window: int):
     """Symbols of the words and the automaton of one block of items; kept for the tasks of a worker by the block's name."""
     name, items = block
@@ -47,13 +54,12 @@ def _automaton(block: tuple[str, list[tuple[str | None, str]]], window: int):
         symbols: dict[bytes, str] = {}
         owners: dict[str, set] = {}
         for item, text in items:
-            words = words_of(text.encode())
-            line = "".join([symbols.setdefault(w, chr(len(symbols) + 1)) for w in words])
+            line = [symbols.setdefault(w, _digits(len(symbols))) for w in words_of(text.encode())]
             for i in range(max(1, len(line) - window + 1) if line else 0):
-                owners.setdefault(line[i : i + window], set()).add(item)
+                owners.setdefault("".join(line[i : i + window]), set()).add(item)
         a = ahocorasick.Automaton()
         for w, ids in owners.items():
-            a.add_word(w, (len(w), tuple(i for i in ids if i is not None)))
+            a.add_word(w, (len(w) // DIGITS, tuple(i for i in ids if i is not None)))
         if owners:
             a.make_automaton()
         _BUILT.clear()
@@ -76,10 +82,11 @@ def _scan(text: bytes | None, symbols: dict, automaton) -> tuple[int, list[tuple
     words = words_of(text)
     if not words or automaton is None:
         return len(words), [], set()
-    line = "".join(map(symbols.get, words, repeat("\0")))
+    line = "".join(map(symbols.get, words, repeat("\0" * DIGITS)))
     found, items = [], set()
     for end, (size, ids) in automaton.iter(line):
-        found.append((end - size + 1, end + 1))
+        last = (end + 1) // DIGITS
+        found.append((last - size, last))
         items.update(ids)
     return len(words), _united(found), items
 
@@ -89,7 +96,7 @@ def _offsets(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]
     return [(places[a][0], places[b - 1][1]) for a, b in spans]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes: int = 1 << 20, text: str = "text", item_id: str = "item_id", item_text: str = "text", with_spans: bool = True, drop: tuple = ()) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes: int = 1 << 19, text: str = "text", item_id: str = "item_id", item_text: str = "text", with_spans: bool = True, drop: tuple = ()) -> DataFrame:
     """``docs`` (without the columns in ``drop``) plus n_words, n_hit, items (sorted strings), spans (code points, only ``with_spans``), contaminated."""
     items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null").distinct()
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
