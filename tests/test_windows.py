@@ -113,8 +113,9 @@ def _cell_row(row):
 
 def test_one_read_one_exchange_and_a_hot_entity_over_many_tasks(spark):
     p = spark.range(4000).selectExpr("'hot' AS e", "id AS d", "cast(id AS double) AS v")
+    persisted = set(spark.sparkContext._jsc.getPersistentRDDs())
     got = W.add_window_features(p, "e", ["d"], [W.Feature("v_lag_1", "lag", "v", 1)], 8)
     sizes = [r["count"] for r in got.groupBy(W.F.spark_partition_id()).count().collect()]
     assert len(sizes) >= 6 and max(sizes) < 2000
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()  # the one exchange lies before the checkpoint
-    assert not spark.sparkContext._jsc.getPersistentRDDs()
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= persisted
