@@ -350,7 +350,7 @@ FROM rec
 @query("metrics_files", _FILES_SQL)
 def metrics_files(spark, sf):
     """SNK-03 -> SRC-04: per-supplier metric records written as one JSON object per file
-    (a partition directory per model), read back with the schema-checked JSON reader that
+    (a file per model), read back with the schema-checked JSON reader that
     skips malformed files, and flattened (PRJ-07)."""
     from ..sources import files as IO
     from ..streaming.pipeline import scratch
@@ -360,7 +360,7 @@ def metrics_files(spark, sf):
         F.col("model").alias("model_name"), "uses_scaled", "train_time_s", "train_r2", "validation_r2", "test_r2",
         "validation_mae", "validation_rmse", "validation_mape", "validation_pred_time",
         F.col("s_suppkey").alias("part"))
-    IO.write_table(recs, out, "json", partition_by=["part"])
-    got = IO.read_json_records(spark, out, IO.METRICS_SCHEMA, ".json", key="model_name").drop("part")
+    IO.write_table(recs, out, "json", file_per="part")
+    got = IO.read_json_records(spark, out, IO.METRICS_SCHEMA, ".json", key="model_name")
     ev = R.evaluation_rows(got.withColumnRenamed("model_name", "model"))
     return round_doubles(ev.select("model", "train_r2", "validation_r2", "test_r2", "mae", "rmse", "train_time_s"))

@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..session import materialize
+
 CORRUPT = "_corrupt_record"
+#: Bytes that opening a file counts for when documents are scanned: a task reads hundreds of small ones, not a few.
+OPEN_BYTES = 1 << 16
 
 METRICS_SCHEMA = T.StructType([
     T.StructField("model_name", T.StringType()),
@@ -82,7 +86,7 @@ def read_json_records(spark: SparkSession, directory: str, schema: T.StructType,
                       key: str | None = None) -> DataFrame:
     """SRC-04/05: one JSON object per file matching ``*<suffix>``; files that are malformed or hold
     anything else (an array, a number) are skipped, a missing directory is an empty table. With
-    ``key`` a missing key defaults to the file stem."""
+    ``key`` a missing key defaults to the file stem. The files are read once, many to a task, and kept as a table."""
     try:
         raw = spark.read.option("pathGlobFilter", f"*{suffix}").text(directory, wholetext=True)
     except AnalysisException:
@@ -96,7 +100,14 @@ def read_json_records(spark: SparkSession, directory: str, schema: T.StructType,
     if key:
         stem = F.regexp_replace(F.col("_file"), r"(_metrics|_metadata)?\.json$", "")
         df = df.withColumn(key, F.coalesce(F.col(key), stem))
-    return df.drop("_file")
+    # files are dealt to tasks when the scan runs, so it runs here
+    cost = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(cost)
+    spark.conf.set(cost, str(OPEN_BYTES))
+    try:
+        return materialize(df.drop("_file"))
+    finally:
+        spark.conf.set(cost, before)
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
@@ -123,9 +134,18 @@ def read_leaderboard(spark: SparkSession, path: str, fmt: str = "json",
 # Sinks
 # ---------------------------------------------------------------------------
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """SNK-01/02: overwrite a dataset (optionally partitioned, e.g. by model and split)."""
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None, file_per: str | None = None) -> None:
+    """SNK-01/02: overwrite a dataset (optionally partitioned, e.g. by model and split).
+
+    ``file_per`` (SNK-03) names a key: each key gets a file of its own with one row (rows that share a key overwrite
+    each other), without the key. All files lie in one folder, which one call lists, and tasks move
+    them into place (commit algorithm 2): the driver does nothing file by file."""
+    if file_per:
+        tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
+        df = df.dropDuplicates([file_per]).drop(file_per).repartition(tasks)
     w = df.write.mode("overwrite").format(fmt)
+    if file_per:
+        w = w.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     if fmt == "csv":
         w = w.option("header", True)
     if partition_by:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import __spark_entry__ as E
 from panelforge.functions import calendar as C
 from panelforge.operators import clean as CL
 from panelforge.operators import explain as X
@@ -16,6 +17,7 @@ from panelforge.operators import rank as R
 from panelforge.operators import scale as SC
 from panelforge.operators import validate as V
 from panelforge.sources import files as IO
+from panelforge.streaming import pipeline
 
 SCHEMA = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("d", T.DateType()), T.StructField("v", T.DoubleType())])
 
@@ -73,6 +75,38 @@ def test_json_documents_that_are_no_objects_are_skipped(spark):
     assert none.count() == 0 and none.schema == IO.METRICS_SCHEMA
 
 
+def test_documents_lie_in_one_folder_and_are_read_many_to_a_task(spark):
+    path, n = f"{folder()}/docs", 200
+    rows = [(f"m{i}", float(i), i) for i in range(n)]
+    IO.write_table(spark.createDataFrame(rows + rows[:7], "model_name string, train_r2 double, part bigint"), path, "json", file_per="part")
+    files = [f for f in os.listdir(path) if f.endswith(".json") and os.path.getsize(f"{path}/{f}")]
+    assert not any(os.path.isdir(f"{path}/{f}") for f in os.listdir(path)) and len(files) == n  # a file per key, no folder per key
+    assert json.load(open(f"{path}/{files[0]}")).keys() == {"model_name", "train_r2"}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    group, tracker = folder(), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, "read")
+    try:
+        got = IO.read_json_records(spark, path, IO.METRICS_SCHEMA, ".json", key="model_name")
+        assert sorted((r.model_name, r.train_r2) for r in got.collect()) == sorted(r[:2] for r in rows)
+        stages = [x for j in tracker.getJobIdsForGroup(group) for x in tracker.getJobInfo(j).stageIds]
+        assert stages and max(tracker.getStageInfo(x).numTasks for x in stages) <= 16  # 50 with four files to a task
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before["spark.sql.files.maxPartitionBytes"])
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before["spark.sql.files.openCostInBytes"]
+
+
+@pytest.mark.parametrize(("query", "name"), [("metrics_files", "metrics")])
+def test_document_queries_make_no_folder_per_supplier(spark, sf, monkeypatch, query, name):
+    made, scratch = [], pipeline.scratch
+    monkeypatch.setattr(pipeline, "scratch", lambda s, x: made.append(scratch(s, x)) or made[-1])
+    rows = E.queries()[query](spark, sf).collect()
+    at = made[0].removeprefix("file:")
+    assert f"panelforge-{name}-" in at and len(rows) > 5
+    assert not any(os.path.isdir(f"{at}/{f}") for f in os.listdir(at)) and len([f for f in os.listdir(at) if f.endswith(".json")]) >= 5
+
+
 def test_optional_tables_and_leaderboards(spark):
     path = folder()
     assert IO.read_optional(spark, f"{path}/none", SCHEMA).count() == 0
