@@ -239,7 +239,7 @@ def leaderboard_metadata(spark, sf):
         F.count(F.lit(1)).cast("int").alias("training_rows"))
     docs = docs.withColumn("hyperparameters", F.create_map(F.lit("rows"), F.col("training_rows").cast("string")))
     out = scratch(spark, "metadata")
-    IO.write_table(docs.withColumnRenamed("s_suppkey", "part"), out, "json", partition_by=["part"])
+    IO.write_table(docs.withColumnRenamed("s_suppkey", "part"), out, "json", file_per="part")
     found = IO.read_json_records(spark, out, IO.METADATA_SCHEMA, ".json", key="model_name")
     lb = R.with_metadata(_supplier_leaderboard(spark, sf), found)
     shown = F.array_join(F.transform(F.map_entries("hyperparameters"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")

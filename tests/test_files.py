@@ -97,7 +97,7 @@ def test_documents_lie_in_one_folder_and_are_read_many_to_a_task(spark):
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before["spark.sql.files.openCostInBytes"]
 
 
-@pytest.mark.parametrize(("query", "name"), [("metrics_files", "metrics")])
+@pytest.mark.parametrize(("query", "name"), [("metrics_files", "metrics"), ("leaderboard_metadata", "metadata")])
 def test_document_queries_make_no_folder_per_supplier(spark, sf, monkeypatch, query, name):
     made, scratch = [], pipeline.scratch
     monkeypatch.setattr(pipeline, "scratch", lambda s, x: made.append(scratch(s, x)) or made[-1])
