@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from panelforge.llm import cotrain, decontam, html_extract, langid, line_dedup, ngram_join, packing, pii, quality_rules, toxicity
+from panelforge.llm import cotrain, decontam, graph, html_extract, langid, line_dedup, ngram_join, packing, pii, quality_rules, toxicity
 from panelforge.llm.common import table
 
 LONG = " ".join(f"w{i % 977}x{i // 977}" for i in range(20000))
@@ -268,6 +268,15 @@ def test_shared_shingles_are_exact(monkeypatch):
         assert (got[off] == np.array(want)[off]).all()
 
 
+def test_size_estimates_do_not_grow_with_the_rounds(spark, capsys):
+    ids = np.random.default_rng(1).permutation(40).tolist()
+    links = spark.createDataFrame([*zip(ids, ids[1:], strict=False), (100, 101), (102, 101)], "a bigint, b bigint")
+    out = graph.components(links)
+    out.explain(mode="cost")
+    assert not re.findall(r"sizeInBytes=\S*E\+\d{3,} B", capsys.readouterr().out)  # handed on from round to round, they have thousands of digits
+    assert {r.node: r.comp for r in out.collect()} == {x: 0 for x in range(40)} | {100: 100, 101: 100, 102: 100}
+
+
 def test_ngram_join_edges(docs, none):
     out = ngram_join.near_duplicates(docs).collect()
     assert len(out) == len(ROWS)
